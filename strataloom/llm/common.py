@@ -50,8 +50,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/strataloom/{label}-{uuid.uuid4().hex}"
 
 
+def tasks(spark: SparkSession, per_core: int = 4) -> int:
+    """Enough tasks to keep every core of the cluster busy: a few per core, so the number of files follows the cluster and not the shuffle."""
+    return max(1, per_core * spark.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors, computes Python stages once."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.coalesce(tasks(df.sparkSession)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import tasks
+
 _MAGIC = b"\x1f\x8b\x08"
 _EMPTY = zlib.compress(b"", 9, 31)
 _DATE = "2024-01-01T00:00:00Z"
@@ -66,7 +68,7 @@ def write_warc(pages: DataFrame, path: str, *, least_bytes: int = 1000, level: i
                 made = [build_record(p, u, h.encode("utf-8", "replace"), r, level)[:-1] for p, u, h, r in zip(*(x.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["value"])
 
-    planned.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\0").text(path)
+    planned.coalesce(tasks(pages.sparkSession)).mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\0").text(path)
 
 
 def _open(path: str):
@@ -155,7 +157,7 @@ def read_warc(spark: SparkSession, path: str, *, split_bytes: int = 16 << 20, wi
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size")).where("size > 0")
     splits = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-    dealt = splits.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = splits.repartition(tasks(spark))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     kinds = pa.schema([pa.field(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in SCHEMA.split(", "))])
 
