@@ -44,10 +44,10 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 class Sketch:
-    """Parameters: registers = bands * rows; base and scale of the exponential spacing; registers lie in [0, limit]."""
+    """Parameters: registers = bands * rows, of which the first `kept` serve for estimates; base and scale of the exponential spacing; registers lie in [0, limit]."""
 
-    def __init__(self, bands: int = 40, rows: int = 5, base: float = 1.001, scale: float = 20.0, limit: int = 65535, seed: int = 1):
-        self.bands, self.rows, self.base, self.scale, self.limit = bands, rows, base, scale, limit
+    def __init__(self, bands: int = 80, rows: int = 8, base: float = 1.1, scale: float = 20.0, limit: int = 255, kept: int = 256, seed: int = 1):
+        self.bands, self.rows, self.base, self.scale, self.limit, self.kept = bands, rows, base, scale, limit, kept
         rng = np.random.default_rng(seed)
         self.a = rng.integers(0, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = rng.integers(0, 2**63, bands * rows, dtype=np.uint64)
@@ -55,7 +55,7 @@ class Sketch:
 
     def registers(self, sets: list[np.ndarray]) -> np.ndarray:
         """One row of registers per set; none may be empty."""
-        out = np.zeros((len(sets), len(self.a)), np.uint16)
+        out = np.zeros((len(sets), len(self.a)), np.uint8)
         sizes = np.array([len(s) for s in sets])
         start = 0
         while start < len(sets):  # pieces that stay in the processor's cache
@@ -109,7 +109,7 @@ def _signatures(docs: DataFrame, sketch: Sketch, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([half(m, 0) for m in marks], pa.int64()), pa.array([half(m, 64) for m in marks], pa.int64()),
-                        pa.array([registers[place[k]].tobytes() if k in place else None for k in range(len(sets))], pa.binary()),
+                        pa.array([registers[place[k], : sketch.kept].tobytes() if k in place else None for k in range(len(sets))], pa.binary()),
                         pa.array([keys[place[k]] if k in place else None for k in range(len(sets))], pa.list_(pa.int64())),
                     ],
                     names=["id", "n", "f1", "f2", "registers", "keys"],
@@ -118,24 +118,24 @@ def _signatures(docs: DataFrame, sketch: Sketch, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, registers binary, keys array<long>")
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, sketch: Sketch, least: float) -> DataFrame:
+def _likely(pairs: DataFrame, sig: DataFrame, sketch: Sketch, least: float) -> DataFrame:
     """Pairs (a, b) whose estimated similarity is at least `least`."""
-    side = lambda x: nodes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
+    side = lambda x: sig.where("n > 0").select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 1000):
                 x = whole.slice(i, 1000)
-                u, v = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint16).reshape(x.num_rows, -1) for c in ("ra", "rb"))
+                u, v = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(x.num_rows, -1) for c in ("ra", "rb"))
                 nu, nv = (x.column(c).to_numpy() for c in ("na", "nb"))
                 yield x.select(["a", "b"]).filter(pa.array(sketch.jaccard(u, v, nu, nv) >= least))
 
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union. Only documents of some pair are read again."""
+def _sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """id and set of the documents in ids, from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -144,8 +144,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                 sets = [shingles(t, width).view(np.int64) for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = materialize(docs.join(used, "id", "left_semi").mapInArrow(run, "id long, set array<long>"), "sets")
+    return materialize(docs.join(ids, "id", "left_semi").mapInArrow(run, "id long, set array<long>"), "sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union. Only documents of some pair are read again."""
+    sets = _sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), docs, width)
     shared = F.size(F.array_intersect("sa", "sb"))
     return (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
@@ -155,10 +159,69 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     )
 
 
+def _block_links(x: list[dict], y: list[dict], percent: int, columns: int = 4096) -> list[tuple[int, int]]:
+    """Links between two blocks of documents (node, comp, set): one for each two components that have any. Intersections are products of 0/1 matrices."""
+    flat = lambda b: (np.concatenate([np.asarray(r["set"], np.int64) for r in b]), np.repeat(np.arange(len(b)), [len(r["set"]) for r in b]))
+    (vx, ix), (vy, iy) = flat(x), flat(y)
+    both = np.intersect1d(vx, vy)
+    shared = np.zeros((len(x), len(y)), np.float32)
+    for s in range(0, len(both), columns):
+        part = both[s : s + columns]
+        m = []
+        for v, i, n in ((vx, ix, len(x)), (vy, iy, len(y))):
+            at = np.minimum(np.searchsorted(part, v), len(part) - 1)
+            hit = part[at] == v
+            one = np.zeros((n, len(part)), np.float32)
+            one[i[hit], at[hit]] = 1
+            m.append(one)
+        shared += m[0] @ m[1].T
+    nx, ny = (np.array([len(r["set"]) for r in b], np.float64) for b in (x, y))
+    cx, cy = (np.array([r["comp"] for r in b], np.int64) for b in (x, y))
+    link = (100 * shared.astype(np.float64) >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
+    seen, out = set(), []
+    for i, k in np.argwhere(link).tolist():
+        two = (min(cx[i], cy[k]), max(cx[i], cy[k]))
+        if two not in seen:
+            seen.add(two)
+            out.append((min(x[i]["node"], y[k]["node"]), max(x[i]["node"], y[k]["node"])))
+    return out
+
+
+def _cluster_links(clusters: DataFrame, comps: DataFrame, sig: DataFrame, docs: DataFrame, width: int, percent: int, block_docs: int = 256, block_items: int = 1 << 18) -> DataFrame:
+    """Links within clusters (node, cluster) between nodes of different components.
+
+    A cluster's nodes outside its largest component are compared, block by block, with all of its nodes; a block holds about block_docs documents
+    or block_items shingles. What is joined are blocks, so neither pairs nor groups become rows or tasks of their own.
+    """
+    sizes = sig.where("n > 0").groupBy(F.col("id").alias("node")).agg(F.max("n").alias("n"))
+    placed = clusters.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    counted = placed.groupBy("cluster", "comp").agg(F.count("*").alias("c"))
+    main = counted.groupBy("cluster").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("k")).where("k > 1").drop("k")
+    open_ = materialize(placed.join(main, "cluster").join(sizes, "node").withColumn("inner", F.col("comp") == F.col("main")).drop("main"), "open")
+    shape = open_.groupBy("cluster", "inner").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("n") / block_items)).cast("long").alias("blocks"))
+    sets = _sets(open_.select(F.col("node").alias("id")), docs, width)
+    key = ["cluster", "inner", "block"]
+    placed = open_.join(shape, ["cluster", "inner"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).select(*key, "node", "comp")
+    blocks = materialize(placed.join(sets.withColumnRenamed("id", "node"), "node").groupBy(*key).agg(F.collect_list(F.struct("node", "comp", "set")).alias("rows")), "blocks")
+    names = blocks.select(*key)
+    pairs = names.where("NOT inner").select("cluster", F.col("inner").alias("i1"), F.col("block").alias("b1")).join(names.select("cluster", F.col("inner").alias("i2"), F.col("block").alias("b2")), "cluster").where("i2 OR b2 >= b1")
+    side = lambda k: blocks.select("cluster", F.col("inner").alias(f"i{k}"), F.col("block").alias(f"b{k}"), F.col("rows").alias(f"r{k}"))
+    full = pairs.join(side(1), ["cluster", "i1", "b1"]).join(side(2), ["cluster", "i2", "b2"]).select("r1", "r2")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(whole.num_rows):
+                one = whole.slice(i, 1)
+                found = _block_links(one.column("r1").to_pylist()[0], one.column("r2").to_pylist()[0], percent)
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    return materialize(full.mapInArrow(run, "a long, b long"), "links")
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketch: Sketch | None = None, margin: float = 0.15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles (long), component_id (least id linked with it, directly or not), kept (it is that one).
 
-    With 40 bands of 5 registers two sets of similarity 0.8 share a band with probability 1 - 1.2e-7. Estimates deviate by 0.03;
+    With 80 bands of 8 registers two sets of similarity 0.8 share a band with probability 1 - 4e-7. Estimates deviate by 0.03;
     pairs estimated more than `margin` below the threshold are not verified. Null or empty texts have no shingles and are linked with nothing.
     Rows that share an id are one document: what is linked with one is linked with the other. Rows without an id link nothing;
     such a row gets its copy's component, else null, and is kept only in the latter case. Extra columns are left out.
@@ -167,24 +230,30 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketc
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sig = materialize(_signatures(texts, sketch, width), "signatures")
     classes = materialize(sig.where("n > 0 AND id IS NOT NULL").groupBy("f1", "f2").agg(F.min("id").alias("id")), "classes")
-    nodes = sig.join(classes, ["f1", "f2", "id"], "left_semi")
-    met = nodes.select(F.col("id").alias("node"), F.explode("keys").alias("key"))
-    order = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), "node"), "node"))["node"]
-    heads = met.groupBy("key").agg(F.count("*").alias("c"), order(1).alias("h1"), order(2).alias("h2")).where("c > 1").drop("c")
-    buckets = materialize(met.join(heads, "key"), "buckets")
-    star = buckets.select("node", F.explode(F.array("h1", "h2")).alias("other")).where("node <> other")
-    tested = materialize(star.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
+    met = sig.select("id", "f1", "f2", "n", "keys").join(classes, ["f1", "f2", "id"], "left_semi").select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
+    shared = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    buckets = materialize(met.join(shared, "key", "left_semi"), "buckets")
+    order = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), "node"), "node", "n"))
+    heads = buckets.groupBy("key").agg(F.array(*(order(k) for k in range(3))).alias("heads"))
+    similar = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  of other sizes none are that similar
+    star = buckets.join(heads, "key").select("node", "n", F.explode("heads").alias("head")).where((F.col("node") != F.col("head.node")) & similar(F.col("n"), F.col("head.n")))
+    tested = materialize(star.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct(), "pairs")
     least = percent / 100 - margin
-    edges = materialize(_verified(materialize(_likely(tested, nodes, sketch, least), "likely"), texts, width, percent), "links")
+    likely = materialize(_likely(tested, sig, sketch, least), "likely")
+    edges = materialize(_verified(likely, texts, width, percent), "links")
     comps = connected_components(edges, materialize)
 
-    # Nodes that still meet in a bucket across components: those pairs, and only those, have not been decided.
-    placed = buckets.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    # Undecided are nodes of different components that meet in a bucket. Most of them resemble one representative: they are in one cluster.
+    clusters = materialize(connected_components(likely, materialize).withColumnRenamed("component", "cluster"), "clusters")
+    within = _cluster_links(clusters, comps, sig, texts, width, percent)
+    # The rest of them are few: pairs that meet by chance, or beside a representative that resembles only one of the two.
+    placed = buckets.join(comps, "node", "left").join(clusters, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("comp"), F.coalesce("cluster", "node").alias("cluster"))
+    split = placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi").select("key")
     rest = materialize(placed.join(split, "key", "left_semi"), "rest")
-    cross = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")))
+    cross = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.cluster") < F.col("y.cluster")) & (F.col("x.comp") != F.col("y.comp")) & similar(F.col("x.n"), F.col("y.n")))
     cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = materialize(_verified(materialize(_likely(cross, nodes, sketch, least), "likely"), texts, width, percent), "links")
+    across = _verified(materialize(_likely(cross, sig, sketch, least), "likely"), texts, width, percent)
+    more = materialize(within.unionByName(across).distinct(), "links")
     if not more.isEmpty():
         comps = connected_components(edges.unionByName(more), materialize)
 
