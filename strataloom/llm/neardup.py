@@ -2,7 +2,7 @@
 
 Registers are truncated logarithms of minima of exponential hashes: the register of a union is the maximum of the registers, and equal
 registers are likelier the more two sets share. Documents with one and the same set are one node. Nodes that agree on a band of registers
-meet in a bucket; a bucket's nodes are first compared with two representatives of it, and then only with nodes that are
+meet in a bucket; a bucket's nodes are first compared with its representative, and then, in blocks, only with nodes that are
 still in another component, so that large groups of copies cost in proportion to their size.
 """
 
@@ -233,10 +233,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketc
     met = sig.select("id", "f1", "f2", "n", "keys").join(classes, ["f1", "f2", "id"], "left_semi").select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
     shared = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     buckets = materialize(met.join(shared, "key", "left_semi"), "buckets")
-    order = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), "node"), "node", "n"))
-    heads = buckets.groupBy("key").agg(F.array(*(order(k) for k in range(3))).alias("heads"))
+    heads = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node", "n")).alias("head"))  # one order for all: a group's buckets mostly agree on it
     similar = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  of other sizes none are that similar
-    star = buckets.join(heads, "key").select("node", "n", F.explode("heads").alias("head")).where((F.col("node") != F.col("head.node")) & similar(F.col("n"), F.col("head.n")))
+    star = buckets.join(heads, "key").where((F.col("node") != F.col("head.node")) & similar(F.col("n"), F.col("head.n")))
     tested = materialize(star.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct(), "pairs")
     least = percent / 100 - margin
     likely = materialize(_likely(tested, sig, sketch, least), "likely")
