@@ -55,8 +55,11 @@ def tasks(spark: SparkSession, per_core: int = 4) -> int:
     return max(1, per_core * spark.sparkContext.defaultParallelism)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors, computes Python stages once."""
+def materialize(df: DataFrame, label: str, *, scan: bool = False) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors, computes Python stages once.
+
+    scan: df is made from a scan alone, and keeps the scan's tasks; what comes from shuffles is written by a few tasks per core.
+    """
     path = shared_dir(df.sparkSession, label)
-    df.coalesce(tasks(df.sparkSession)).write.parquet(path)
+    (df if scan else df.coalesce(tasks(df.sparkSession))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,17 +134,34 @@ def _likely(pairs: DataFrame, sig: DataFrame, sketch: Sketch, least: float) -> D
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def _sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """id and set of the documents in ids, from their texts."""
+def _sets(ids: DataFrame, docs: DataFrame, width: int, most_bits: int = 1 << 30) -> DataFrame:
+    """id and set of the documents in ids (and of some others), from their texts.
+
+    A bitmap of hashed ids, 16 bits an id and at most most_bits (128 MB), is broadcast, so that texts are filtered where they are read and not shuffled.
+    Beyond that bound more of the other documents pass it; joins on id leave those out.
+    """
+    bits = min(most_bits, max(1 << 20, 1 << (16 * ids.count()).bit_length()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    marked = ids.select(slot("id").alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    bitmap = np.zeros(bits // 8 + 4096, np.uint8)
+    for r in marked.toLocalIterator():
+        at = r["k"] * 4096
+        bitmap[at : at + 4096] = np.frombuffer(r["bits"], np.uint8)
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, 500):
-                batch = whole.slice(i, 500)
+            for i in range(0, whole.num_rows, 2000):
+                batch = whole.slice(i, 2000)
+                bucket, at = batch.column("bucket").to_numpy(), batch.column("at").to_numpy()
+                place = bucket * 4096 + (at >> 3)
+                inside = (sent.value[place] >> (at & 7).astype(np.uint8)) & 1 == 1
+                batch = batch.filter(pa.array(inside))
                 sets = [shingles(t, width).view(np.int64) for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
-    return materialize(docs.join(ids, "id", "left_semi").mapInArrow(run, "id long, set array<long>"), "sets")
+    found = docs.where("id IS NOT NULL").select("id", "text", F.bitmap_bucket_number(slot("id")).alias("bucket"), F.bitmap_bit_position(slot("id")).alias("at"))
+    return materialize(found.mapInArrow(run, "id long, set array<long>"), "sets", scan=True)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -228,7 +245,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketc
     """
     sketch = sketch or Sketch()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = materialize(_signatures(texts, sketch, width), "signatures")
+    sig = materialize(_signatures(texts, sketch, width), "signatures", scan=True)
     classes = materialize(sig.where("n > 0 AND id IS NOT NULL").groupBy("f1", "f2").agg(F.min("id").alias("id")), "classes")
     met = sig.select("id", "f1", "f2", "n", "keys").join(classes, ["f1", "f2", "id"], "left_semi").select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
     shared = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")

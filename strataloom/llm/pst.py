@@ -217,7 +217,7 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, *, text_col: str = "te
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, *(n for n, _ in new)])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields if f.name != "__text"), "n_tokens long, __known long, __base double, __score double, __rare array<long>, __tf array<int>"])
-    first = materialize(carried.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored")
+    first = materialize(carried.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored", scan=True)
     rare = first.select("__row", F.explode(F.arrays_zip("__rare", "__tf")).alias("x")).select("__row", F.col("x.__rare").alias("key"), F.col("x.__tf").alias("tf"))
     total = F.lit(float(tree.total) + 0.5 * (tree.distinct + 1))
     c = F.coalesce(F.col("c"), F.lit(0))
