@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +65,15 @@ def materialize(df: DataFrame, label: str, *, scan: bool = False) -> DataFrame:
     path = shared_dir(df.sparkSession, label)
     (df if scan else df.coalesce(tasks(df.sparkSession))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """While it lasts, batches sent to Python hold at most `most` rows: for jobs whose rows are large. It covers only what runs inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.graph import connected_components
-from .common import materialize, space_words
+from .common import arrow_rows, materialize, space_words
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -176,31 +176,35 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     )
 
 
-def _block_links(x: list[dict], y: list[dict], percent: int, columns: int = 4096) -> list[tuple[int, int]]:
-    """Links between two blocks of documents (node, comp, set): one for each two components that have any. Intersections are products of 0/1 matrices."""
-    flat = lambda b: (np.concatenate([np.asarray(r["set"], np.int64) for r in b]), np.repeat(np.arange(len(b)), [len(r["set"]) for r in b]))
-    (vx, ix), (vy, iy) = flat(x), flat(y)
+def _block(row: pa.Array) -> tuple[np.ndarray, ...]:
+    """Nodes, components, set sizes and all items of the block in a list array of one row."""
+    node, comp, sets = row.flatten().flatten()
+    return node.to_numpy(), comp.to_numpy(), sets.value_lengths().to_numpy(), sets.flatten().to_numpy()
+
+
+def _block_links(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], percent: int, columns: int = 4096) -> list[tuple[int, int]]:
+    """Links between two blocks of documents: one for each two components that have any. Intersections are products of 0/1 matrices."""
+    (ux, cx, nx, vx), (uy, cy, ny, vy) = x, y
+    ix, iy = (np.repeat(np.arange(len(n)), n) for n in (nx, ny))
     both = np.intersect1d(vx, vy)
-    shared = np.zeros((len(x), len(y)), np.float32)
+    shared = np.zeros((len(nx), len(ny)), np.float32)
     for s in range(0, len(both), columns):
         part = both[s : s + columns]
         m = []
-        for v, i, n in ((vx, ix, len(x)), (vy, iy, len(y))):
+        for v, i, n in ((vx, ix, len(nx)), (vy, iy, len(ny))):
             at = np.minimum(np.searchsorted(part, v), len(part) - 1)
             hit = part[at] == v
             one = np.zeros((n, len(part)), np.float32)
             one[i[hit], at[hit]] = 1
             m.append(one)
         shared += m[0] @ m[1].T
-    nx, ny = (np.array([len(r["set"]) for r in b], np.float64) for b in (x, y))
-    cx, cy = (np.array([r["comp"] for r in b], np.int64) for b in (x, y))
     link = (100 * shared.astype(np.float64) >= percent * (nx[:, None] + ny[None, :] - shared)) & (cx[:, None] != cy[None, :])
     seen, out = set(), []
     for i, k in np.argwhere(link).tolist():
         two = (min(cx[i], cy[k]), max(cx[i], cy[k]))
         if two not in seen:
             seen.add(two)
-            out.append((min(x[i]["node"], y[k]["node"]), max(x[i]["node"], y[k]["node"])))
+            out.append((int(min(ux[i], uy[k])), int(max(ux[i], uy[k]))))
     return out
 
 
@@ -229,10 +233,11 @@ def _cluster_links(clusters: DataFrame, comps: DataFrame, sig: DataFrame, docs:
         for whole in batches:
             for i in range(whole.num_rows):
                 one = whole.slice(i, 1)
-                found = _block_links(one.column("r1").to_pylist()[0], one.column("r2").to_pylist()[0], percent)
+                found = _block_links(_block(one.column("r1")), _block(one.column("r2")), percent)
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
-    return materialize(full.mapInArrow(run, "a long, b long"), "links")
+    with arrow_rows(docs.sparkSession, 4):  # a row holds two blocks
+        return materialize(full.mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketch: Sketch | None = None, margin: float = 0.15, heads_tested: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
