@@ -1,0 +1,3 @@
+"""Queries by name: registry has them all once this package is imported."""
+
+from . import more, registry  # noqa: F401
