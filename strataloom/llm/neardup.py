@@ -240,6 +240,42 @@ def _cluster_links(clusters: DataFrame, comps: DataFrame, sig: DataFrame, docs:
         return materialize(full.mapInArrow(run, "a long, b long"), "links")
 
 
+def _bucket_links(rest: DataFrame, sig: DataFrame, sketch: Sketch, least: float, percent: int, block_docs: int = 256) -> DataFrame:
+    """Pairs (a, b) of nodes of different components and clusters that meet in a bucket and are likely to be similar enough. Rest: key, node, comp, cluster.
+
+    A bucket is cut into blocks of about block_docs nodes; blocks are what is joined, and only likely pairs leave a task as rows.
+    """
+    own = sig.where("n > 0").select(F.col("id").alias("node"), "n", "registers")
+    counts = rest.groupBy("key").agg(F.ceil(F.count("*") / block_docs).cast("long").alias("blocks"))
+    placed = rest.select("key", "node", "comp", "cluster").join(counts, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).drop("blocks")
+    blocks = materialize(placed.join(own, "node").groupBy("key", "block").agg(F.collect_list(F.struct("node", "comp", "cluster", "n", "registers")).alias("rows")), "blocks")
+    side = lambda k: blocks.select("key", F.col("block").alias(f"b{k}"), F.col("rows").alias(f"r{k}"))
+    full = side(1).join(side(2), "key").where("b1 <= b2").select((F.col("b1") == F.col("b2")).alias("same"), "r1", "r2")
+
+    def arrays(row: pa.Array) -> tuple[np.ndarray, ...]:
+        *numbers, registers = row.flatten().flatten()
+        return *(x.to_numpy() for x in numbers), np.frombuffer(b"".join(registers.to_pylist()), np.uint8).reshape(len(registers), -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(whole.num_rows):
+                one = whole.slice(i, 1)
+                (ux, cx, kx, nx, rx), (uy, cy, ky, ny, ry) = arrays(one.column("r1")), arrays(one.column("r2"))
+                low, high = np.minimum(nx[:, None], ny), np.maximum(nx[:, None], ny)
+                open_ = (cx[:, None] != cy) & (kx[:, None] != ky) & (100 * low >= percent * high)
+                if one.column("same")[0].as_py():
+                    open_ = np.triu(open_, 1)
+                p, q = np.nonzero(open_)
+                for j in range(0, len(p), 1000):
+                    x, y = p[j : j + 1000], q[j : j + 1000]
+                    hit = sketch.jaccard(rx[x], ry[y], nx[x], ny[y]) >= least
+                    u, v = ux[x[hit]], uy[y[hit]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    with arrow_rows(rest.sparkSession, 16):
+        return materialize(full.mapInArrow(run, "a long, b long"), "likely").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketch: Sketch | None = None, margin: float = 0.15, heads_tested: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_shingles (long), component_id (least id linked with it, directly or not), kept (it is that one).
 
@@ -274,9 +310,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketc
     placed = buckets.join(comps, "node", "left").join(clusters, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("comp"), F.coalesce("cluster", "node").alias("cluster"))
     split = placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo < hi").select("key")
     rest = materialize(placed.join(split, "key", "left_semi"), "rest")
-    cross = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.cluster") < F.col("y.cluster")) & (F.col("x.comp") != F.col("y.comp")) & similar(F.col("x.n"), F.col("y.n")))
-    cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    across = _verified(materialize(_likely(cross, sig, sketch, least), "likely"), texts, width, percent)
+    cross = _bucket_links(rest, sig, sketch, least, percent).join(tested, ["a", "b"], "left_anti")
+    across = _verified(materialize(cross, "pairs"), texts, width, percent)
     more = materialize(within.unionByName(across).distinct(), "links")
     if not more.isEmpty():
         comps = connected_components(edges.unionByName(more), materialize)
