@@ -1,16 +1,21 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Contexts of one and two words are nodes if they are frequent enough (an empirical probability of at least p_min, the tree's classical parameter, so that the
-tree has at most 1/p_min nodes and next-symbol entries a level) and if their next-symbol distribution diverges from that of the suffix above
-them. A text is scored by the longest suffix that is a node. Distributions are smoothed by discounting into the suffix above,
-and at the root by adding one half to every word's count. Word counts cover the whole vocabulary: words above p_words of all
-tokens are carried in the model, the rest meet their counts in a join.
+Contexts are nodes if their next-symbol distribution diverges from that of the suffix above them; next-symbol entries are the continuations that
+occur `least` times, however large the corpus is. A text is scored by the longest suffix that is a node. Distributions are smoothed by discounting into
+the suffix above, and at the root by adding one half to every word's count. Words, nodes and entries are rows of written tables, which grow with the corpus.
+
+A token's score is that of the root, plus log(left) of each suffix that is a node, plus a correction where the token is an entry of that node.
+All of these belong to runs of words, so a text meets the model in one join on its runs. Runs above p_head of all tokens are carried to where texts are
+read, which spares the join; a bitmap of the others leaves out of the join what the model lacks.
+
+`train` and `Tree` make the same model in one process, of two words at most and without what is rarer than p_min, which then bounds it.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, space_words
+from .neardup import mix
 
 END = -(2**63)  # stands for the end of a text; hashes of words never take it
 DISCOUNT = 0.75
@@ -195,39 +201,185 @@ def train(docs: DataFrame, *, p_min: float = 3e-6, p_words: float = 1e-6, gain:
     return tree, counts
 
 
-def score(docs: DataFrame, tree: Tree, counts: DataFrame, *, text_col: str = "text") -> DataFrame:
+def joined(ctx: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Key of the run of words whose words but the last are the run ctx, and whose words but the first are the run low."""
+    return mix(ctx.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + low.view(np.uint64)).view(np.int64)
+
+
+def runs(hashes: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length from 1 on: keys of the runs that end at each place of texts laid end to end, and whether the run lies within one text."""
+    keys, inside = hashes, np.ones(len(hashes), bool)
+    yield keys, inside
+    for _ in range(1, longest):
+        longer, ok = np.zeros_like(keys), np.zeros_like(inside)
+        longer[1:] = joined(keys[:-1], keys[1:])
+        ok[1:] = inside[:-1] & inside[1:] & (hashes[:-1] != END)
+        keys, inside = longer, ok
+        yield keys, inside
+
+
+class Bitmap:
+    """Which keys may be in a set: 16 bits a key, at most most_bits (128 MB). Beyond that more of the other keys pass; joins leave those out."""
+
+    def __init__(self, keys: DataFrame, most_bits: int = 1 << 30):
+        bits = min(most_bits, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+        slot = F.pmod("key", F.lit(bits))
+        marked = keys.select(F.shiftright(slot, 15).alias("k"), F.pmod(slot, F.lit(32768)).alias("at")).groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits"))
+        self.last, self.bits = bits - 1, np.zeros(bits // 8, np.uint8)
+        for r in marked.toLocalIterator():
+            self.bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & self.last
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _entries(docs: DataFrame, level: int, least: int, kept: Bitmap | None, most: int = 2_000_000) -> DataFrame:
+    """key, ctx, low and c of the runs of level + 1 words that occur `least` times; kept: the runs of one word less that do."""
+    sent = docs.sparkSession.sparkContext.broadcast(kept)
+
+    def count(held: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.concatenate(held)
+        *_, (keys, inside) = runs(h, level)
+        ok = inside[:-1] & inside[1:] & (h[:-1] != END)
+        if sent.value is not None:
+            passed = sent.value(keys)
+            ok &= passed[:-1] & passed[1:]
+        ctx, low = keys[:-1][ok], keys[1:][ok]
+        _, first, c = np.unique(joined(ctx, low), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(ctx[first]), pa.array(low[first]), pa.array(c.astype(np.int64))], names=["ctx", "low", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                held.append(word_ids(text))
+                n += len(held[-1])
+                if n >= most:
+                    yield count(held)
+                    held, n = [], 0
+        if held:
+            yield count(held)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key = joined(b.column("ctx").to_numpy(), b.column("low").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "ctx", "low", "c"])
+
+    counted = docs.mapInArrow(run, "ctx long, low long, c long").groupBy("ctx", "low").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+    return materialize(counted.mapInArrow(name, "key long, ctx long, low long, c long"), "entries")
+
+
+@dataclass
+class Model:
+    """rest: key, base, value and known of all runs of the model but those in head; a text's sums over its runs, plus `unseen` a token, are its scores."""
+
+    total: int
+    unseen: float
+    longest: int
+    head: tuple[np.ndarray, ...]
+    rest: DataFrame
+    within: Bitmap
+
+
+def fit(docs: DataFrame, *, depth: int = 2, least: int = 2, gain: float = 8.0, p_head: float = 1e-6) -> Model:
+    """The model of texts (column text, null as empty), with contexts of up to depth words. All entries that occur `least` times count, and all contexts that gain as many nats."""
+    counts = materialize(_counted(docs, lambda t: t), "words")
+    size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    total, distinct = int(size["n"] or 0), int(size["v"])
+    smoothed = total + 0.5 * (distinct + 1)
+    unseen = float(np.log10(0.5 / smoothed))
+    one = (F.col("c") + 0.5) / smoothed
+    none, zero = F.lit(0).cast("long"), F.lit(0.0)
+    parts = [counts.select("key", "c", (F.log10(one) - unseen).alias("base"), (F.log10(one) - unseen).alias("value"), F.lit(1).cast("long").alias("known"))]
+    above, kept, longest = counts.select("key", "c", one.alias("p")), None, 1
+    for level in range(1, depth + 1) if total else ():
+        found = _entries(docs, level, least, kept)
+        met = materialize(
+            found.join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low")
+            .join(above.select(F.col("key").alias("ctx"), F.col("c").alias("seen")), "ctx"),
+            "met",
+        )
+        left = met.groupBy("ctx").agg((1 - F.sum(F.col("c") - DISCOUNT) / F.max("seen")).alias("left"))
+        met = met.join(left, "ctx").withColumn("p", (F.col("c") - DISCOUNT) / F.col("seen") + F.col("left") * F.col("above"))
+        spared = lambda p: F.least(F.greatest(1 - F.sum(p), F.lit(1e-12)), F.lit(1.0))  # noqa: E731  what the entries leave to all other words
+        nodes = met.groupBy("ctx").agg(
+            F.max("seen").alias("seen"), F.max("left").alias("left"),
+            (F.sum(F.col("p") * F.log(F.col("p") / F.col("above"))) + spared("p") * F.log(spared("p") / spared("above"))).alias("divergence"),
+        )
+        nodes = materialize(nodes.where(F.col("divergence") * F.col("seen") >= gain), "nodes")
+        if nodes.isEmpty():
+            break
+        log_left = F.log10("left")
+        marked = met.join(nodes.select("ctx", F.lit(True).alias("node")), "ctx", "left")
+        own = materialize(
+            marked.select("key", "c", F.when(F.col("node"), F.col("p")).otherwise(F.col("above")).alias("p"), F.when(F.col("node"), F.log10(F.col("p") / F.col("above")) - log_left).alias("value")), "level"
+        )
+        parts.append(nodes.select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, log_left, none))
+        parts.append(own.where("value IS NOT NULL").select("key", "c", zero, "value", none))
+        above, longest = own.select("key", "c", "p"), level + 1
+        if level < depth:
+            kept = Bitmap(found)
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.union(p)
+    table = materialize(every.groupBy("key").agg(F.max("c").alias("c"), F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("known").alias("known")), "model")
+    bound = max(1.0, p_head * total)
+    names = ["key", "base", "value", "known"]
+    head = table.where(F.col("c") >= bound).select(*names).orderBy("key").toArrow()  # at most 1/p_head of each length
+    rest = table.where(F.col("c") < bound).select(*names)
+    return Model(total, unseen, longest, tuple(head.column(n).to_numpy() for n in names), rest, Bitmap(rest))
+
+
+def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int = 500) -> DataFrame:
     """docs without the text, plus n_tokens, n_known, train_tokens (long), base_score and score (log10 probabilities of the text).
 
     Null text is as empty text: its end alone. Without training texts every token is unknown. Extra columns pass through, but names that begin with two underscores are reserved.
     """
     carried = docs.select(*[c for c in docs.columns if c != text_col], F.col(text_col).alias("__text"))
-    sent = docs.sparkSession.sparkContext.broadcast(tree)  # bounded as in train
-    new = [("n_tokens", pa.int64()), ("__known", pa.int64()), ("__base", pa.float64()), ("__score", pa.float64()), ("__rare", pa.list_(pa.int64())), ("__tf", pa.list_(pa.int32()))]
+    sent = docs.sparkSession.sparkContext.broadcast((model.longest, model.head, model.within))
+    new = "n_tokens long, __known long, __base double, __score double, __keys array<long>, __tf array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column("__text").to_pylist():
-                hashes = word_ids(text)
-                base, total, known, rare = sent.value.score(hashes)
-                rare, tf = np.unique(rare, return_counts=True)
-                rows.append((len(hashes), known, base, total, rare, tf.astype(np.int32)))
-            kept = [f.name for f in batch.schema if f.name != "__text"]
-            made = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(new)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, *(n for n, _ in new)])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields if f.name != "__text"), "n_tokens long, __known long, __base double, __score double, __rare array<long>, __tf array<int>"])
+        longest, (keys, *values), within = sent.value
+        find = Lookup(keys)
+        for whole in batches:
+            for start in range(0, whole.num_rows, most):
+                batch = whole.slice(start, most)
+                ids = [word_ids(t) for t in batch.column("__text").to_pylist()]
+                lengths = np.array([len(x) for x in ids])
+                row = np.repeat(np.arange(len(ids)), lengths)
+                sums = np.zeros((3, len(ids)))
+                more = []
+                for key, inside in runs(np.concatenate(ids), longest):
+                    key, at_row = key[inside], row[inside]
+                    at = find(key)
+                    hit = at >= 0
+                    for k, v in enumerate(values):
+                        sums[k] += np.bincount(at_row[hit], v[at[hit]], len(ids))
+                    open_ = ~hit & within(key)
+                    more.append((at_row[open_], key[open_]))
+                rows, rest = (np.concatenate(x) for x in zip(*more, strict=True))
+                by = np.lexsort((rest, rows))
+                rows, rest = rows[by], rest[by]
+                first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (rest[1:] != rest[:-1])]) if len(rows) else np.zeros(0, np.int64)
+                tf = np.diff(np.r_[first, len(rows)]).astype(np.int32)
+                offsets = pa.array(np.searchsorted(rows[first], np.arange(len(ids) + 1)).astype(np.int32))
+                kept = [f.name for f in batch.schema if f.name != "__text"]
+                made = [pa.array(lengths.astype(np.int64)), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(offsets, pa.array(rest[first])), pa.ListArray.from_arrays(offsets, pa.array(tf))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, *(x.split()[0] for x in new.split(", "))])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields if f.name != "__text"), new])
     first = materialize(carried.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored", scan=True)
-    rare = first.select("__row", F.explode(F.arrays_zip("__rare", "__tf")).alias("x")).select("__row", F.col("x.__rare").alias("key"), F.col("x.__tf").alias("tf"))
-    total = F.lit(float(tree.total) + 0.5 * (tree.distinct + 1))
-    c = F.coalesce(F.col("c"), F.lit(0))
-    summed = (
-        rare.join(counts, "key", "left")
-        .groupBy("__row").agg(F.sum(F.col("tf") * F.log10((c + 0.5) / total)).alias("__more"), F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("__also"))
-    )
-    more, also = F.coalesce("__more", F.lit(0.0)), F.coalesce("__also", F.lit(0))
+    rest = first.select("__row", F.explode(F.arrays_zip("__keys", "__tf")).alias("x")).select("__row", F.col("x.__keys").alias("key"), F.col("x.__tf").alias("tf"))
+    sums = [F.sum(F.col("tf") * F.col(a)).alias(b) for a, b in (("base", "__more"), ("value", "__longer"), ("known", "__also"))]
+    summed = rest.join(model.rest, "key").groupBy("__row").agg(*sums)
+    total = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0.0)) + F.col("n_tokens") * F.lit(model.unseen)
     return (
-        first.drop("__rare", "__tf").join(summed, "__row", "left")
-        .withColumns({"n_known": F.col("__known") + also, "train_tokens": F.lit(tree.total).cast("long"), "base_score": F.col("__base") + more, "score": F.col("__score") + more})
-        .drop("__row", "__known", "__base", "__score", "__more", "__also")
+        first.drop("__keys", "__tf").join(summed, "__row", "left")
+        .withColumns({
+            "n_known": F.col("__known") + F.coalesce("__also", F.lit(0)), "train_tokens": F.lit(model.total).cast("long"),
+            "base_score": total("__base", "__more"), "score": total("__score", "__longer"),
+        })
+        .drop("__row", "__known", "__base", "__score", "__more", "__longer", "__also")
     )

@@ -65,9 +65,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tree, counts = pst.train(docs.where(bucket("doc_id", 5) != 1).select("text"))
+    model = pst.fit(docs.where(bucket("doc_id", 5) != 1).select("text"))
     marked = docs.withColumn("held_out", F.coalesce(bucket("doc_id", 5) == 1, F.lit(False)))
-    return pst.score(marked, tree, counts).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return pst.score(marked, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
