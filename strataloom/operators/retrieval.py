@@ -17,15 +17,21 @@ def unit(v: Column) -> Column:
 def vector_top_k(queries: DataFrame, records: DataFrame, k: int, max_queries: int = 10_000) -> DataFrame:
     """query_id, id, score, rank: the k records (id, vector) of greatest cosine similarity per query (query_id, vector); ties by id.
 
-    The queries are a stated set of at most max_queries, checked here, which is broadcast against all records.
+    Queries are broadcast against all records in blocks of about max_queries; each block ranks its queries in full.
     """
-    if queries.limit(max_queries + 1).count() > max_queries:
-        raise ValueError(f"more than {max_queries} queries: give them in blocks")
-    q = queries.select("query_id", F.col("vector").alias("__q"), unit(F.col("vector")).alias("__nq"))
+    blocks = max(1, -(-queries.count() // max_queries))
     r = records.select("id", F.col("vector").alias("__r"), unit(F.col("vector")).alias("__nr"))
     score = F.round(dot(F.col("__q"), F.col("__r")) / (F.col("__nq") * F.col("__nr")), 6)
-    scored = r.join(F.broadcast(q), F.col("id") != F.col("query_id")).select("query_id", "id", score.alias("score"))
-    return _ranked(scored, k)
+    ranked = []
+    for block in range(blocks):
+        own = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) if blocks > 1 else queries
+        q = own.select("query_id", F.col("vector").alias("__q"), unit(F.col("vector")).alias("__nq"))
+        scored = r.join(F.broadcast(q), F.col("id") != F.col("query_id")).select("query_id", "id", score.alias("score"))
+        ranked.append(_ranked(scored, k))
+    every = ranked[0]
+    for one in ranked[1:]:
+        every = every.unionByName(one)
+    return every
 
 
 def _ranked(scored: DataFrame, k: int) -> DataFrame:
