@@ -32,9 +32,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the least id. Five-word shingles, similarity of 0.8 and more."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi").select(*COLUMNS)
+    """One row of each group of near-duplicates: that with the least id, of equal ids that with the least digest of its text; rows without an id come last.
+
+    Rows are compared as such, also those that repeat an id or have none. Rows without words are no copies of each other, unless they agree in id and text.
+    """
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", scan=True)
+    found = neardup.near_duplicates(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "n_shingles", "component_id")
+    small = rows.select("__row", "doc_id", F.sha2("text", 256).alias("digest")).join(found, "__row")
+    blank = F.when(F.col("n_shingles") == 0, F.struct(F.when(F.col("doc_id").isNull(), F.col("__row")).alias("row"), "doc_id", "digest"))
+    group = [F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("component"), blank.alias("blank")]
+    kept = small.groupBy(*group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "__row")).alias("first")).select("first.__row")
+    return rows.join(kept, "__row", "left_semi").select(*COLUMNS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

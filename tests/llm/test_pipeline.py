@@ -33,6 +33,17 @@ def test_stages(spark, sf_dir, docs_pdf):
     assert {r["doc_id"] for r in out.collect()} == set(texts)
 
 
+def test_one_row_of_each_group_of_copies(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(7, text), (7, text), (7, text + " more"), (9, text), (None, text + " less"), (None, "lone " * 3 + text[:60]), (None, "lone " * 3 + text[:60]), (7, "other words of the same id"), (3, ""), (3, ""), (4, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_path}/docs")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_copies(spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path)).collect()]
+    assert [d for d, t in got if t and t.startswith("w0")] == [7]
+    rest = [(d, t) for d, t in got if not (t and t.startswith("w0"))]
+    assert sorted(rest, key=str) == sorted([(None, "lone " * 3 + text[:60]), (7, "other words of the same id"), (3, ""), (4, ""), (None, None), (None, None)], key=str)
+
+
 def test_run_on_empty_tables(spark, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
 
