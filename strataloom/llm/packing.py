@@ -12,6 +12,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.graph import connected_components
+from . import neardup
+from .common import materialize
+
 SCHEMA = "doc_id long, piece int, bin_id long, slot int, bin_offset int, start int, n_tokens int, source string"
 
 
@@ -69,6 +73,22 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t\n\u000B\f\r]+"), lambda w: w != ""))
 
 
+def folded(text: Column) -> Column:
+    """Hash of a text without case and white space's kind and amount; null is as empty."""
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))))
+
+
+def with_clusters(docs: DataFrame, *, width: int = 5, text_col: str = "text") -> DataFrame:
+    """docs with cluster (long): rows linked, directly or not, as near-duplicates (shingles of width words, similarity of 0.8) or as texts equal but for case and white space."""
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", scan=True)
+    near = neardup.near_duplicates(rows, width=width, id_col="__row", text_col=text_col).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("b"))
+    placed = materialize(rows.select("__row", folded(F.col(text_col)).alias("h")).join(near, "__row"), "placed")
+    same = placed.groupBy("h").agg(F.min("b").alias("a"))
+    joined = connected_components(placed.select("h", "b").distinct().join(same, "h").where("a <> b").select("a", "b"), materialize)
+    cluster = placed.join(joined, placed["b"] == joined["node"], "left").select("__row", F.coalesce("component", "b").alias("cluster"))
+    return rows.join(cluster, "__row").drop("__row")
+
+
 def best_fit_pack(docs: DataFrame, *, capacity: int = 2048, max_per_source: int = 4, shard_docs: int = 4096, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster: Column | None = None, tokens: Column | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, bin_id, slot and bin_offset in the bin, start and n_tokens in the document, source.
 
@@ -80,11 +100,10 @@ def best_fit_pack(docs: DataFrame, *, capacity: int = 2048, max_per_source: int
     total = docs.count()
     shards = max(1, -(-total // shard_docs))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    own = F.xxhash64(F.lower(F.trim(F.regexp_replace(text, r"\s+", " "))))
     small = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        (cluster if cluster is not None else own).cast("long").alias("cluster"),
+        (cluster if cluster is not None else folded(F.col(text_col))).cast("long").alias("cluster"),
         (tokens if tokens is not None else word_count(F.col(text_col))).cast("int").alias("size"),
         F.xxhash64(text).alias("copy"),
     )

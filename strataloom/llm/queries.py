@@ -40,7 +40,8 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit_pack(table(spark, sf_dir, "documents"))
+    docs = packing.with_clusters(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return packing.best_fit_pack(docs, cluster=F.col("cluster"))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

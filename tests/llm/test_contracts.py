@@ -109,6 +109,16 @@ def test_packing(spark, sf_dir, docs_pdf):
         assert max([0, *Counter(r["source"] for r in own if r["source"]).values()]) <= 4
 
 
+def test_packing_parts_near_copies(spark, tmp_path):
+    words = [f"w{k}" for k in range(100)]
+    texts = [" ".join([*words[:50], f"own{k}", *words[51:]]) for k in range(6)] + ["ÉTÉ été", "été  ÉTÉ", "", None]
+    docs = spark.createDataFrame([(k, t, f"s{k}") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bins = {r["doc_id"]: r["bin_id"] for r in q.op5_packing(spark, str(tmp_path)).collect()}
+    assert set(bins) == set(range(10))
+    assert len({bins[k] for k in range(6)}) == 6 and bins[6] != bins[7] and bins[8] != bins[9]
+
+
 BASE = [
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), lambda m: len(m[2]) >= 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
