@@ -13,6 +13,7 @@ read, which spares the join; a bitmap of the others leaves out of the join what
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -282,8 +283,8 @@ class Model:
     within: Bitmap
 
 
-def fit(docs: DataFrame, *, depth: int = 2, least: int = 2, gain: float = 8.0, p_head: float = 1e-6) -> Model:
-    """The model of texts (column text, null as empty), with contexts of up to depth words. All entries that occur `least` times count, and all contexts that gain as many nats."""
+def fit(docs: DataFrame, *, depth: int | None = 2, least: int = 2, gain: float = 8.0, p_head: float = 1e-6) -> Model:
+    """The model of texts (column text, null as empty), with contexts of up to depth words; None: of more words until a level has no node. All entries that occur `least` times count, and all contexts that gain as many nats."""
     counts = materialize(_counted(docs, lambda t: t), "words")
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size["n"] or 0), int(size["v"])
@@ -293,7 +294,7 @@ def fit(docs: DataFrame, *, depth: int = 2, least: int = 2, gain: float = 8.0, p
     none, zero = F.lit(0).cast("long"), F.lit(0.0)
     parts = [counts.select("key", "c", (F.log10(one) - unseen).alias("base"), (F.log10(one) - unseen).alias("value"), F.lit(1).cast("long").alias("known"))]
     above, kept, longest = counts.select("key", "c", one.alias("p")), None, 1
-    for level in range(1, depth + 1) if total else ():
+    for level in (itertools.count(1) if depth is None else range(1, depth + 1)) if total else ():
         found = _entries(docs, level, least, kept)
         met = materialize(
             found.join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low")
@@ -318,7 +319,7 @@ def fit(docs: DataFrame, *, depth: int = 2, least: int = 2, gain: float = 8.0, p
         parts.append(nodes.select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, log_left, none))
         parts.append(own.where("value IS NOT NULL").select("key", "c", zero, "value", none))
         above, longest = own.select("key", "c", "p"), level + 1
-        if level < depth:
+        if level != depth:
             kept = Bitmap(found)
     every = parts[0]
     for p in parts[1:]:

@@ -162,6 +162,21 @@ def test_entries_do_not_vanish_in_a_larger_corpus(spark, tmp_path):
     assert got["score"] > got["base_score"] + 4
 
 
+def test_contexts_grow_while_they_diverge(spark, tmp_path):
+    """The last word of four follows from the first alone, which two words of context do not reach."""
+    from strataloom.llm import queries
+
+    ids = [d for d in range(800) if zlib.crc32(str(d).encode()) % 5 != 1][:400]
+    probe = next(d for d in range(800) if zlib.crc32(str(d).encode()) % 5 == 1)
+    texts = ["x b c p", "y b c q", "m n r", "o n s"]
+    train = [(d, texts[k % 4]) for k, d in enumerate(ids)]
+    spark.createDataFrame([*train, (probe, "x b c p")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    two = pst.score(docs.where(f"doc_id = {probe}"), pst.fit(docs.where(f"doc_id <> {probe}").select("text"), depth=2)).first()
+    got = queries.op9_suffix_tree(spark, str(tmp_path)).where("held_out").first()
+    assert got["score"] > two["score"] + 0.25
+
+
 def test_gradient():
     net = langid.Network(["a", "b"], hidden=3, window=5, seed=1)
     for k, v in net.p.items():
