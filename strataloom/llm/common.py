@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -64,7 +65,22 @@ def materialize(df: DataFrame, label: str, *, scan: bool = False) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, label)
     (df if scan else df.coalesce(tasks(df.sparkSession))).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_written"] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that materialize wrote and nothing reads any more, and lets the driver forget the shuffles of plans that are gone."""
+    for df in tables:
+        path = df.__dict__.pop("_written", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()  # shuffle files go when the driver's collector finds that no plan holds them
 
 
 @contextmanager

@@ -1,206 +1,64 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 Contexts are nodes if their next-symbol distribution diverges from that of the suffix above them; next-symbol entries are the continuations that
-occur `least` times, however large the corpus is. A text is scored by the longest suffix that is a node. Distributions are smoothed by discounting into
+occur `least` times, however large the corpus is. A context is tried where the suffix above it is open: where the model so far spends at least `gain` nats
+on that suffix's entries. On a suffix that is not open no longer context could save as much, so nothing that passes the divergence test is left out, and runs
+that always go on alike, as in copies, end by themselves. A text is scored by the longest suffix that is a node. Distributions are smoothed by discounting into
 the suffix above, and at the root by adding one half to every word's count. Words, nodes and entries are rows of written tables, which grow with the corpus.
 
 A token's score is that of the root, plus log(left) of each suffix that is a node, plus a correction where the token is an entry of that node.
 All of these belong to runs of words, so a text meets the model in one join on its runs. Runs above p_head of all tokens are carried to where texts are
 read, which spares the join; a bitmap of the others leaves out of the join what the model lacks.
-
-`train` and `Tree` make the same model in one process, of two words at most and without what is rarer than p_min, which then bounds it.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, space_words
-from .neardup import mix
+from .common import materialize, release
+from .tokens import END, Lookup, mix, word_hashes
 
-END = -(2**63)  # stands for the end of a text; hashes of words never take it
 DISCOUNT = 0.75
 
 
-def word_ids(text: str | None) -> np.ndarray:
-    """64-bit hashes of a text's words, then END."""
-    digest = xxhash.xxh3_64_intdigest
-    words = space_words(text)
-    out = np.empty(len(words) + 1, np.int64)
-    out[:-1] = np.fromiter((digest(w) for w in words), np.uint64, len(words)).view(np.int64)
-    out[:-1][out[:-1] == END] += 1
-    out[-1] = END
-    return out
+def _uniques(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct value of x stands first in some order, and how often it occurs."""
+    order = np.argsort(x)
+    ranked = x[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(x) else np.zeros(0, np.int64)
+    return order[first], np.diff(np.concatenate([first, [len(x)]]))
 
 
-def _counted(docs: DataFrame, keys, most: int = 2_000_000) -> DataFrame:
-    """key and c: how often keys(list of token arrays of a batch) gives each; summed per task first, in pieces of at most about `most` tokens."""
+def _pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[np.ndarray]:
+    """Word hashes of texts laid end to end, in pieces of about `most` tokens."""
+    held, n = [], 0
+    for batch in batches:
+        tokens, _ = word_hashes(batch.column(column))
+        held.append(tokens)
+        n += len(tokens)
+        if n >= most:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def flush() -> pa.RecordBatch:
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c.astype(np.int64))], names=["key", "c"])
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.append(keys(word_ids(text)))
-                n += len(held[-1])
-                if n >= most:
-                    yield flush()
-                    n = 0
-        if held:
-            yield flush()
 
-    return docs.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+def _words(docs: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """key and c: how often each word hash occurs; summed per task first."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens in _pieces(batches, "text", most):
+            first, c = _uniques(tokens)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[first]), pa.array(c.astype(np.int64))], names=["key", "c"])
 
-class Lookup:
-    """Places of keys in a sorted array; -1 for those that it lacks."""
-
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(x), -1, np.int64)
-        at = np.searchsorted(self.keys, x)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == x, at, -1)
-
-
-class Tree:
-    """The suffix tree. Words of the model have ids by falling count; those below n_heads may stand in contexts."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int, n_heads: int):
-        by = np.lexsort((words, -counts))
-        self.total, self.distinct, self.m = total, distinct, n_heads
-        self.count = counts[by]
-        self.base = np.log10((self.count + 0.5) / (total + 0.5 * (distinct + 1)))
-        back = np.argsort(words[by])
-        self.find, self.back = Lookup(words[by][back]), back
-        none = np.zeros(0, np.int64)
-        self.pairs, self.triples = Lookup(none), Lookup(none)
-        self.pair_count = self.triple_count = none
-        self.keep1, self.left1 = np.zeros(n_heads, bool), np.ones(n_heads)
-        self.keep2 = self.left2 = none
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        at = self.find(hashes)
-        return np.where(at >= 0, self.back[at], -1) if len(self.back) else at
-
-    def pair_keys(self, ids: np.ndarray) -> np.ndarray:
-        """Key of (previous, this) at every place from the second on; -1 where one of them is no head."""
-        u, w = ids[:-1], ids[1:]
-        return np.where((u >= 0) & (u < self.m) & (w >= 0) & (w < self.m), u * self.m + w, -1)
-
-    def triple_keys(self, ids: np.ndarray) -> np.ndarray:
-        pair = self.pairs(self.pair_keys(ids))
-        if len(pair) < 2:
-            return np.zeros(0, np.int64)
-        w = ids[2:]
-        return np.where((pair[:-1] >= 0) & (pair[1:] >= 0), pair[:-1] * self.m + w, -1)
-
-    def grow(self, level: int, keys: np.ndarray, counts: np.ndarray, gain: float) -> None:
-        """Takes the frequent continuations of a level and retains the contexts whose divergence from the suffix above, times their count, is gain nats."""
-        by = np.argsort(keys)
-        keys, counts = keys[by], counts[by]
-        context, word = keys // self.m, keys % self.m
-        size = self.m if level == 1 else len(self.pairs.keys)
-        seen = self.count[: self.m] if level == 1 else self.pair_count
-        kept = np.bincount(context, counts - DISCOUNT, size)
-        left = 1 - kept / seen
-        if level == 1:
-            above = 10 ** self.base[word]
-        else:
-            suffix = self.pairs.keys[context] % self.m
-            above = 10 ** self._one(suffix, word)
-        p = (counts - DISCOUNT) / seen[context] + left[context] * above
-        divergence = np.bincount(context, p * np.log(p / above), size)
-        rest = np.bincount(context, p, size), np.bincount(context, above, size)  # what the entries leave to all other words
-        q, r = np.clip(1 - rest[0], 1e-12, 1), np.clip(1 - rest[1], 1e-12, 1)
-        keep = (divergence + q * np.log(q / r)) * seen >= gain
-        keep &= np.bincount(context, minlength=size) > 0
-        if level == 1:
-            self.pairs, self.pair_count, self.left1, self.keep1 = Lookup(keys), counts, left, keep
-        else:
-            self.triples, self.triple_count, self.left2, self.keep2 = Lookup(keys), counts, left, keep
-
-    def _one(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """log10 P(w | u) for model words w: by u if that is a node, else by the root."""
-        base = self.base[w]
-        head = (u >= 0) & (u < self.m)
-        node = np.zeros(len(u), bool)
-        node[head] = self.keep1[u[head]]
-        out = base.copy()
-        k = np.flatnonzero(node)
-        pair = self.pairs(np.where((w[k] >= 0) & (w[k] < self.m), u[k] * self.m + w[k], -1))
-        own = np.where(pair >= 0, (self.pair_count[pair] - DISCOUNT) / self.count[u[k]], 0) if len(self.pair_count) else np.zeros(len(k))
-        out[k] = np.log10(own + self.left1[u[k]] * 10 ** base[k])
-        return out
-
-    def score(self, hashes: np.ndarray) -> tuple[float, float, int, np.ndarray]:
-        """Of a text: the base sum and the tree's sum over model words (with the back-off weights of the others), how many words the model has, the other hashes."""
-        ids = self.ids(hashes)
-        known = ids >= 0
-        base = np.where(known, self.base[ids], 0.0) if len(self.base) else np.zeros(len(ids))
-        total = base.copy()
-        if len(ids) > 1 and self.m:
-            u, w = ids[:-1], ids[1:]
-            one = np.zeros(len(w))
-            k = np.flatnonzero(w >= 0)
-            one[k] = self._one(u[k], w[k])
-            # A word outside the model: only the weights that lead to the root; its count comes later.
-            k = np.flatnonzero((w < 0) & (u >= 0) & (u < self.m))
-            k = k[self.keep1[u[k]]]
-            one[k] = np.log10(self.left1[u[k]])
-            if len(self.keep2):
-                state = self.pairs(self.pair_keys(ids))[:-1]  # of the two words before, from the third word on
-                k = np.flatnonzero(state >= 0)
-                k = k[self.keep2[state[k]]]
-                at, word = state[k], ids[k + 2]
-                triple = self.triples(np.where((word >= 0) & (word < self.m), at * self.m + word, -1))
-                own = np.where(triple >= 0, (self.triple_count[triple] - DISCOUNT) / self.pair_count[at], 0) if len(self.triple_count) else np.zeros(len(k))
-                lower = 10 ** one[k + 1]
-                one[k + 1] = np.log10(own + self.left2[at] * lower)
-            total[1:] = one
-        return float(base.sum()), float(total.sum()), int(known.sum()), hashes[~known]
-
-
-def _collect(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys counted at least `least` times: at most 1/p of them, for least = p * tokens."""
-    got = counts.where(F.col("key") != -1).where(F.col("c") >= least).toArrow()
-    return got.column("key").to_numpy().astype(np.int64), got.column("c").to_numpy().astype(np.int64)
-
-
-def train(docs: DataFrame, *, p_min: float = 3e-6, p_words: float = 1e-6, gain: float = 8.0) -> tuple[Tree, DataFrame]:
-    """The tree, and the table of all word counts (key, c), of texts (column text, null as empty)."""
-    counts = materialize(_counted(docs, lambda t: t), "words")
-    size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    total, distinct = int(size["n"] or 0), int(size["v"])
-    least = max(2, int(np.ceil(p_min * total)))
-    words, seen = _collect(counts, min(least, max(2, int(np.ceil(p_words * total)))))
-    tree = Tree(words, seen, total, distinct, int((seen >= least).sum()))
-    for level in (1, 2) if tree.m else ():
-        sent = docs.sparkSession.sparkContext.broadcast(tree)  # at most 1/p_words words and 1/p_min entries a level
-        make = (lambda t: sent.value.pair_keys(sent.value.ids(t))) if level == 1 else (lambda t: sent.value.triple_keys(sent.value.ids(t)))
-        keys, seen = _collect(_counted(docs, make), least)
-        tree.grow(level, keys, seen, gain)
-        if not len(keys):
-            break
-    return tree, counts
-
+    return docs.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 def joined(ctx: np.ndarray, low: np.ndarray) -> np.ndarray:
     """Key of the run of words whose words but the last are the run ctx, and whose words but the first are the run low."""
@@ -235,40 +93,48 @@ class Bitmap:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _entries(docs: DataFrame, level: int, least: int, kept: Bitmap | None, most: int = 2_000_000) -> DataFrame:
-    """key, ctx, low and c of the runs of level + 1 words that occur `least` times; kept: the runs of one word less that do."""
-    sent = docs.sparkSession.sparkContext.broadcast(kept)
+def _entries(docs: DataFrame, level: int, least: int, frequent: Bitmap | None, opened: Bitmap | None, most: int = 2_000_000) -> DataFrame:
+    """ctx, low and c of the runs of level + 1 words that occur `least` times; with opened, also rows without low: the contexts tried and how often they occur.
 
-    def count(held: list[np.ndarray]) -> pa.RecordBatch:
-        h = np.concatenate(held)
-        *_, (keys, inside) = runs(h, level)
-        ok = inside[:-1] & inside[1:] & (h[:-1] != END)
-        if sent.value is not None:
-            passed = sent.value(keys)
-            ok &= passed[:-1] & passed[1:]
-        ctx, low = keys[:-1][ok], keys[1:][ok]
-        _, first, c = np.unique(joined(ctx, low), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(ctx[first]), pa.array(low[first]), pa.array(c.astype(np.int64))], names=["ctx", "low", "c"])
+    frequent: which runs of one word less may be part of such a run; opened: which suffixes of contexts are open.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, opened))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        may, open_ = sent.value
+        for h in _pieces(batches, "text", most):
+            *shorter, (keys, inside) = runs(h, level)
+            ok = inside[:-1] & inside[1:] & (h[:-1] != END)
+            parts = []
+            if open_ is not None:
+                ok &= open_(shorter[-1][0][:-1])
+                ctx = keys[:-1][ok]
+                first, c = _uniques(ctx)
+                parts.append((pa.array(ctx[first]), pa.nulls(len(first), pa.int64()), c))
+            if may is not None:
+                ok &= may(keys[1:])
+                if open_ is None:
+                    ok &= may(keys[:-1])
+            ctx, low = keys[:-1][ok], keys[1:][ok]
+            first, c = _uniques(joined(ctx, low))
+            parts.append((pa.array(ctx[first]), pa.array(low[first]), c))
+            for ctx, low, c in parts:
+                yield pa.RecordBatch.from_arrays([ctx, low, pa.array(c.astype(np.int64))], names=["ctx", "low", "c"])
+
+    counted = docs.mapInArrow(run, "ctx long, low long, c long").groupBy("ctx", "low").agg(F.sum("c").alias("c"))
+    return materialize(counted.where(F.col("c") >= least), "entries")
+
+
+def _named(entries: DataFrame) -> DataFrame:
+    """entries with key, that of the whole run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.append(word_ids(text))
-                n += len(held[-1])
-                if n >= most:
-                    yield count(held)
-                    held, n = [], 0
-        if held:
-            yield count(held)
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             key = joined(b.column("ctx").to_numpy(), b.column("low").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", "ctx", "low", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], names=["key", *b.schema.names])
 
-    counted = docs.mapInArrow(run, "ctx long, low long, c long").groupBy("ctx", "low").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-    return materialize(counted.mapInArrow(name, "key long, ctx long, low long, c long"), "entries")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema.fields)
+    return entries.mapInArrow(run, f"key long, {kinds}")
 
 
 @dataclass
@@ -284,8 +150,12 @@ class Model:
 
 
 def fit(docs: DataFrame, *, depth: int | None = 2, least: int = 2, gain: float = 8.0, p_head: float = 1e-6) -> Model:
-    """The model of texts (column text, null as empty), with contexts of up to depth words; None: of more words until a level has no node. All entries that occur `least` times count, and all contexts that gain as many nats."""
-    counts = materialize(_counted(docs, lambda t: t), "words")
+    """The model of texts (column text, null as empty), with contexts of up to depth words; None: as long as a suffix is open.
+
+    All entries that occur `least` times count, and all contexts whose divergence from the suffix above, times their count, is `gain` nats.
+    Of the levels only what the next one or the model needs stays written.
+    """
+    counts = materialize(_words(docs), "words")
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size["n"] or 0), int(size["v"])
     smoothed = total + 0.5 * (distinct + 1)
@@ -293,38 +163,51 @@ def fit(docs: DataFrame, *, depth: int | None = 2, least: int = 2, gain: float =
     one = (F.col("c") + 0.5) / smoothed
     none, zero = F.lit(0).cast("long"), F.lit(0.0)
     parts = [counts.select("key", "c", (F.log10(one) - unseen).alias("base"), (F.log10(one) - unseen).alias("value"), F.lit(1).cast("long").alias("known"))]
-    above, kept, longest = counts.select("key", "c", one.alias("p")), None, 1
+    above, seen, longest, done = counts.select("key", one.alias("p")), counts.select(F.col("key").alias("ctx"), F.col("c").alias("seen")), 1, [counts]
+    frequent, opened = Bitmap(counts.where(F.col("c") >= least)) if total else None, None
     for level in (itertools.count(1) if depth is None else range(1, depth + 1)) if total else ():
-        found = _entries(docs, level, least, kept)
-        met = materialize(
-            found.join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low")
-            .join(above.select(F.col("key").alias("ctx"), F.col("c").alias("seen")), "ctx"),
-            "met",
-        )
-        left = met.groupBy("ctx").agg((1 - F.sum(F.col("c") - DISCOUNT) / F.max("seen")).alias("left"))
-        met = met.join(left, "ctx").withColumn("p", (F.col("c") - DISCOUNT) / F.col("seen") + F.col("left") * F.col("above"))
+        found = _entries(docs, level, least, frequent, opened)
+        if opened is not None:
+            seen = found.where("low IS NULL").select("ctx", F.col("c").alias("seen"))
+        met = materialize(found.where("low IS NOT NULL").join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low").join(seen, "ctx"), "met")
+        spent = F.col("c") - DISCOUNT
+        left = met.groupBy("ctx").agg((1 - F.sum(spent) / F.max("seen")).alias("left"))
+        p = spent / F.col("seen") + F.col("left") * F.col("above")
         spared = lambda p: F.least(F.greatest(1 - F.sum(p), F.lit(1e-12)), F.lit(1.0))  # noqa: E731  what the entries leave to all other words
-        nodes = met.groupBy("ctx").agg(
-            F.max("seen").alias("seen"), F.max("left").alias("left"),
-            (F.sum(F.col("p") * F.log(F.col("p") / F.col("above"))) + spared("p") * F.log(spared("p") / spared("above"))).alias("divergence"),
+        judged = (
+            met.join(left, "ctx").withColumn("p", p).groupBy("ctx").agg(
+                F.max("seen").alias("seen"), F.max("left").alias("left"),
+                (F.max("seen") * (F.sum(F.col("p") * F.log(F.col("p") / F.col("above"))) + spared("p") * F.log(spared("p") / spared("above"))) >= gain).alias("node"),
+                F.sum(-F.col("c") * F.log("p")).alias("as_node"), F.sum(-F.col("c") * F.log("above")).alias("as_suffix"),
+            )
+            .withColumn("open", F.when(F.col("node"), F.col("as_node")).otherwise(F.col("as_suffix")) >= gain).drop("as_node", "as_suffix")
         )
-        nodes = materialize(nodes.where(F.col("divergence") * F.col("seen") >= gain), "nodes")
-        if nodes.isEmpty():
-            break
-        log_left = F.log10("left")
-        marked = met.join(nodes.select("ctx", F.lit(True).alias("node")), "ctx", "left")
+        judged = materialize(judged.where("node OR open"), "contexts")
         own = materialize(
-            marked.select("key", "c", F.when(F.col("node"), F.col("p")).otherwise(F.col("above")).alias("p"), F.when(F.col("node"), F.log10(F.col("p") / F.col("above")) - log_left).alias("value")), "level"
+            _named(met.drop("seen").join(judged, "ctx").select("ctx", "low", "c", "node", "open", "left", "above", p.alias("p")))
+            .select("key", "c", "open", F.when(F.col("node"), F.col("p")).otherwise(F.col("above")).alias("p"), F.when(F.col("node"), F.log10(F.col("p") / F.col("above")) - F.log10("left")).alias("value")),
+            "level",
         )
-        parts.append(nodes.select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, log_left, none))
+        nodes = judged.where("node")
+        parts.append(nodes.select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, F.log10("left"), none))
         parts.append(own.where("value IS NOT NULL").select("key", "c", zero, "value", none))
-        above, longest = own.select("key", "c", "p"), level + 1
-        if level != depth:
-            kept = Bitmap(found)
+        going_on, longest = own.where("open").select("key", "p"), level + 1
+        stop = level == depth or going_on.isEmpty()
+        if level == 1 and not stop:  # all pairs are contexts of the second level
+            pairs = materialize(_named(found).select(F.col("key").alias("ctx"), F.col("c").alias("seen")), "pairs")
+            above, seen, frequent = going_on, pairs, Bitmap(pairs.select(F.col("ctx").alias("key")))
+            done.append(pairs)
+        elif not stop:
+            above, frequent, opened = going_on, Bitmap(going_on.select("key")), Bitmap(judged.where("open").select(F.col("ctx").alias("key")))
+        done += [judged, own]
+        release(met, found)
+        if stop:
+            break
     every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
+    for part in parts[1:]:
+        every = every.union(part)
     table = materialize(every.groupBy("key").agg(F.max("c").alias("c"), F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("known").alias("known")), "model")
+    release(*done)
     bound = max(1.0, p_head * total)
     names = ["key", "base", "value", "known"]
     head = table.where(F.col("c") >= bound).select(*names).orderBy("key").toArrow()  # at most 1/p_head of each length
@@ -347,17 +230,16 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
         for whole in batches:
             for start in range(0, whole.num_rows, most):
                 batch = whole.slice(start, most)
-                ids = [word_ids(t) for t in batch.column("__text").to_pylist()]
-                lengths = np.array([len(x) for x in ids])
-                row = np.repeat(np.arange(len(ids)), lengths)
-                sums = np.zeros((3, len(ids)))
+                tokens, lengths = word_hashes(batch.column("__text"))
+                n, row = len(lengths), np.repeat(np.arange(len(lengths)), lengths)
+                sums = np.zeros((3, n))
                 more = []
-                for key, inside in runs(np.concatenate(ids), longest):
+                for key, inside in runs(tokens, longest):
                     key, at_row = key[inside], row[inside]
                     at = find(key)
                     hit = at >= 0
                     for k, v in enumerate(values):
-                        sums[k] += np.bincount(at_row[hit], v[at[hit]], len(ids))
+                        sums[k] += np.bincount(at_row[hit], v[at[hit]], n)
                     open_ = ~hit & within(key)
                     more.append((at_row[open_], key[open_]))
                 rows, rest = (np.concatenate(x) for x in zip(*more, strict=True))
@@ -365,7 +247,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
                 rows, rest = rows[by], rest[by]
                 first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (rest[1:] != rest[:-1])]) if len(rows) else np.zeros(0, np.int64)
                 tf = np.diff(np.r_[first, len(rows)]).astype(np.int32)
-                offsets = pa.array(np.searchsorted(rows[first], np.arange(len(ids) + 1)).astype(np.int32))
+                offsets = pa.array(np.searchsorted(rows[first], np.arange(n + 1)).astype(np.int32))
                 kept = [f.name for f in batch.schema if f.name != "__text"]
                 made = [pa.array(lengths.astype(np.int64)), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(offsets, pa.array(rest[first])), pa.ListArray.from_arrays(offsets, pa.array(tf))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, *(x.split()[0] for x in new.split(", "))])

@@ -117,38 +117,6 @@ def test_warc_large_record_ends_in_zero():
     assert warc.build_record(1, "u", b"a" * (17 << 20), None)[-1] == 0
 
 
-def test_tree_is_a_distribution(spark):
-    texts = [("a b c a b d a b c x",), ("b c a a b c",), ("c a b c d d a b",), (None,)] * 3
-    docs = spark.createDataFrame(texts, "text string")
-    tree, counts = pst.train(docs, p_min=1e-3, gain=0.05)
-    assert tree.keep1.any() and tree.keep2.any()
-    vocabulary = [r["key"] for r in counts.collect()]
-    unknown = 12345
-    for context in ("a", "b", "a b", "b c", "c a", "x", "d d", "zzz a b"):
-        h = pst.word_ids(context)[:-1]
-        before = tree.score(h)[1]
-        p = sum(10 ** (tree.score(np.r_[h, w])[1] - before) for w in vocabulary)
-        rest = 10 ** (tree.score(np.r_[h, unknown])[1] - before) * 0.5 / (tree.total + 0.5 * (tree.distinct + 1))
-        assert p + rest == pytest.approx(1, abs=1e-9)
-
-
-def test_tables_are_the_tree(spark):
-    rng = random.Random(4)
-    texts = [(" ".join(rng.choice("a b c d".split()) + (" x y z" if rng.random() < 0.2 else "") for _ in range(30)),) for _ in range(40)] + [(None,), ("",), ("only once",)]
-    docs = spark.createDataFrame(texts, "text string")
-    tree, _ = pst.train(docs, p_min=1e-9, p_words=1e-9, gain=0.5)
-    assert tree.keep1.any() and tree.keep2.any()
-    for p_head in (1e-9, 0.05, 1.0):  # all carried, some, none
-        got = pst.score(docs, pst.fit(docs, gain=0.5, p_head=p_head)).collect()
-        want = []
-        for (text,) in texts:
-            h = pst.word_ids(text)
-            base, total, known, rare = tree.score(h)
-            once = len(rare) * np.log10(1.5 / (tree.total + 0.5 * (tree.distinct + 1)))
-            want.append((len(h), base + once, total + once))
-        assert sorted((r["n_tokens"], round(r["base_score"], 7), round(r["score"], 7)) for r in got) == sorted((n, round(b, 7), round(t, 7)) for n, b, t in want)
-
-
 def test_entries_do_not_vanish_in_a_larger_corpus(spark, tmp_path):
     """What occurs twice counts beside a million other words too. 10,000 words a filler text; 3e-6 of all tokens would ask for three."""
     ids = [d for d in range(400) if zlib.crc32(str(d).encode()) % 5 != 1]
