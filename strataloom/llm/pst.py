@@ -150,7 +150,7 @@ class Model:
 
 
 def fit(docs: DataFrame, *, depth: int | None = 2, least: int = 2, gain: float = 8.0, p_head: float = 1e-6) -> Model:
-    """The model of texts (column text, null as empty), with contexts of up to depth words; None: as long as a suffix is open.
+    """The model of texts (column text, null as empty), with contexts of up to depth words; None: until a level has no node.
 
     All entries that occur `least` times count, and all contexts whose divergence from the suffix above, times their count, is `gain` nats.
     Of the levels only what the next one or the model needs stays written.
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, *, depth: int | None = 2, least: int = 2, gain: float =
         parts.append(nodes.select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, F.log10("left"), none))
         parts.append(own.where("value IS NOT NULL").select("key", "c", zero, "value", none))
         going_on, longest = own.where("open").select("key", "p"), level + 1
-        stop = level == depth or going_on.isEmpty()
+        stop = level == depth or nodes.isEmpty() or going_on.isEmpty()
         if level == 1 and not stop:  # all pairs are contexts of the second level
             pairs = materialize(_named(found).select(F.col("key").alias("ctx"), F.col("c").alias("seen")), "pairs")
             above, seen, frequent = going_on, pairs, Bitmap(pairs.select(F.col("ctx").alias("key")))

@@ -66,7 +66,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = pst.fit(docs.where(bucket("doc_id", 5) != 1).select("text"), depth=None)
+    model = pst.fit(docs.where(bucket("doc_id", 5) != 1).select("text"), depth=4)
     marked = docs.withColumn("held_out", F.coalesce(bucket("doc_id", 5) == 1, F.lit(False)))
     return pst.score(marked, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -92,17 +92,4 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
        sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS clean_sha256
 FROM marked GROUP BY doc_id"""
 
-_OP2 = r"""
-WITH dw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w, generate_subscripts(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), 1) AS i FROM documents),
-q AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
-qw AS (SELECT DISTINCT item, len(ws[s:s + 12]) AS n, array_to_string(ws[s:s + 12], ' ') AS win FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS s FROM q WHERE len(ws) > 0)),
-dg AS (SELECT doc_id, i, string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS win, count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n FROM dw),
-hits AS (SELECT d.doc_id, d.i, q.item, q.n FROM dg d JOIN qw q ON q.win = d.win AND q.n = 13 AND d.n = 13),
-words AS (SELECT doc_id, count(*) AS n_words FROM dw GROUP BY 1),
-hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
-SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(n_words, 0) AS contaminated
-FROM documents d LEFT JOIN words USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
-
 ORACLE_SQL = {"op1_line_dedup": _OP1}

@@ -27,7 +27,7 @@ class Plain:
             for s in seqs:
                 for i in range(level, len(s)):
                     runs[tuple(s[i - level : i])][s[i]] += 1
-            now = set()
+            now, before = set(), len(self.nodes)
             for ctx, c in runs.items():
                 seen, entries = sum(c.values()), {w: n for w, n in c.items() if n >= least}
                 if ctx[1:] not in open_ or not entries:
@@ -41,7 +41,7 @@ class Plain:
                     self.nodes[ctx] = (left, seen, entries)
                 if sum(-n * math.log((p if node else above)[w]) for w, n in entries.items()) >= gain:
                     now.add(ctx)
-            open_ = now
+            open_ = now if len(self.nodes) > before else set()
         self.discount = discount
 
     def root(self, w):
