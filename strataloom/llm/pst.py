@@ -13,13 +13,14 @@ read, which spares the join; a bitmap of the others leaves out of the join what
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, release
@@ -139,7 +140,7 @@ def _named(entries: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """rest: key, base, value and known of all runs of the model but those in head; a text's sums over its runs, plus `unseen` a token, are its scores."""
+    """rest: key, base, value and known of all runs of the model but those in head, some in several rows that add up; a text's sums over its runs, plus `unseen` a token, are its scores."""
 
     total: int
     unseen: float
@@ -149,70 +150,63 @@ class Model:
     within: Bitmap
 
 
-def fit(docs: DataFrame, *, depth: int | None = 2, least: int = 2, gain: float = 8.0, p_head: float = 1e-6) -> Model:
+def fit(docs: DataFrame, *, depth: int | None = 3, least: int = 2, gain: float = 8.0, p_head: float = 2.5e-7) -> Model:
     """The model of texts (column text, null as empty), with contexts of up to depth words; None: until a level has no node.
 
     All entries that occur `least` times count, and all contexts whose divergence from the suffix above, times their count, is `gain` nats.
-    Of the levels only what the next one or the model needs stays written.
+    A level is written once: its entries meet the words or pairs below them in two joins, and what is asked of a context's entries together is a window over
+    the second join's partitions (a context has as many rows as words follow it, however often).
     """
     counts = materialize(_words(docs), "words")
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size["n"] or 0), int(size["v"])
     smoothed = total + 0.5 * (distinct + 1)
     unseen = float(np.log10(0.5 / smoothed))
-    one = (F.col("c") + 0.5) / smoothed
-    none, zero = F.lit(0).cast("long"), F.lit(0.0)
-    parts = [counts.select("key", "c", (F.log10(one) - unseen).alias("base"), (F.log10(one) - unseen).alias("value"), F.lit(1).cast("long").alias("known"))]
-    above, seen, longest, done = counts.select("key", one.alias("p")), counts.select(F.col("key").alias("ctx"), F.col("c").alias("seen")), 1, [counts]
-    frequent, opened = Bitmap(counts.where(F.col("c") >= least)) if total else None, None
+    one, zero = (F.col("c") + 0.5) / smoothed, F.lit(0.0)
+    gained = F.log10(one) - unseen
+    parts = [counts.select("key", "c", gained.alias("base"), gained.alias("value"), F.lit(1).cast("long").alias("known"))]
+    above, seen, longest = counts.select("key", one.alias("p")), counts.select(F.col("key").alias("ctx"), F.col("c").alias("seen")), 1
+    frequent, opened, pairs = Bitmap(counts.where(F.col("c") >= least)) if total else None, None, None
+    of = Window.partitionBy("ctx")
+    p, spared = F.col("p"), lambda x: F.least(F.greatest(1 - x, F.lit(1e-12)), F.lit(1.0))  # what the entries leave to all other words
     for level in (itertools.count(1) if depth is None else range(1, depth + 1)) if total else ():
         found = _entries(docs, level, least, frequent, opened)
         if opened is not None:
             seen = found.where("low IS NULL").select("ctx", F.col("c").alias("seen"))
-        met = materialize(found.where("low IS NOT NULL").join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low").join(seen, "ctx"), "met")
+        met = found.where("low IS NOT NULL").join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low").join(seen, "ctx")
         spent = F.col("c") - DISCOUNT
-        left = met.groupBy("ctx").agg((1 - F.sum(spent) / F.max("seen")).alias("left"))
-        p = spent / F.col("seen") + F.col("left") * F.col("above")
-        spared = lambda p: F.least(F.greatest(1 - F.sum(p), F.lit(1e-12)), F.lit(1.0))  # noqa: E731  what the entries leave to all other words
         judged = (
-            met.join(left, "ctx").withColumn("p", p).groupBy("ctx").agg(
-                F.max("seen").alias("seen"), F.max("left").alias("left"),
-                (F.max("seen") * (F.sum(F.col("p") * F.log(F.col("p") / F.col("above"))) + spared("p") * F.log(spared("p") / spared("above"))) >= gain).alias("node"),
-                F.sum(-F.col("c") * F.log("p")).alias("as_node"), F.sum(-F.col("c") * F.log("above")).alias("as_suffix"),
-            )
-            .withColumn("open", F.when(F.col("node"), F.col("as_node")).otherwise(F.col("as_suffix")) >= gain).drop("as_node", "as_suffix")
+            met.withColumn("left", 1 - F.sum(spent).over(of) / F.col("seen"))
+            .withColumn("p", spent / F.col("seen") + F.col("left") * F.col("above"))
+            .withColumns({
+                "own": F.sum(p * F.log(p / F.col("above"))).over(of), "q": spared(F.sum("p").over(of)), "r": spared(F.sum("above").over(of)),
+                "as_node": F.sum(-F.col("c") * F.log("p")).over(of), "as_suffix": F.sum(-F.col("c") * F.log("above")).over(of), "lead": F.col("low") == F.min("low").over(of),
+            })
+            .withColumn("node", F.col("seen") * (F.col("own") + F.col("q") * F.log(F.col("q") / F.col("r"))) >= gain)
+            .withColumn("open", F.when(F.col("node"), F.col("as_node")).otherwise(F.col("as_suffix")) >= gain)
+            .where("node OR open")
+            .select("ctx", "low", "c", "open", "node", "lead", F.when(F.col("node") & F.col("lead"), F.col("seen")).alias("seen"), F.when(F.col("node"), F.log10("left")).alias("left"),
+                    F.when(F.col("open"), F.when(F.col("node"), p).otherwise(F.col("above"))).alias("p"), F.when(F.col("node"), F.log10(p / F.col("above")) - F.log10("left")).alias("value"))
         )
-        judged = materialize(judged.where("node OR open"), "contexts")
-        own = materialize(
-            _named(met.drop("seen").join(judged, "ctx").select("ctx", "low", "c", "node", "open", "left", "above", p.alias("p")))
-            .select("key", "c", "open", F.when(F.col("node"), F.col("p")).otherwise(F.col("above")).alias("p"), F.when(F.col("node"), F.log10(F.col("p") / F.col("above")) - F.log10("left")).alias("value")),
-            "level",
-        )
-        nodes = judged.where("node")
-        parts.append(nodes.select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, F.log10("left"), none))
-        parts.append(own.where("value IS NOT NULL").select("key", "c", zero, "value", none))
-        going_on, longest = own.where("open").select("key", "p"), level + 1
-        stop = level == depth or nodes.isEmpty() or going_on.isEmpty()
+        written = materialize(_named(judged), "level")
+        parts.append(written.where("node AND lead").select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, "left", F.lit(0).cast("long")))
+        parts.append(written.where("node").select("key", "c", zero, "value", F.lit(0).cast("long")))
+        going_on, longest = written.where("open").select("key", "p"), level + 1
+        stop = level == depth or written.where("node").isEmpty() or going_on.isEmpty()
         if level == 1 and not stop:  # all pairs are contexts of the second level
             pairs = materialize(_named(found).select(F.col("key").alias("ctx"), F.col("c").alias("seen")), "pairs")
             above, seen, frequent = going_on, pairs, Bitmap(pairs.select(F.col("ctx").alias("key")))
-            done.append(pairs)
         elif not stop:
-            above, frequent, opened = going_on, Bitmap(going_on.select("key")), Bitmap(judged.where("open").select(F.col("ctx").alias("key")))
-        done += [judged, own]
-        release(met, found)
+            above, frequent, opened = going_on, Bitmap(going_on.select("key")), Bitmap(written.where("open AND lead").select(F.col("ctx").alias("key")))
+        release(found, *([pairs] if pairs is not None and (stop or level > 1) else []))
         if stop:
             break
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
-    table = materialize(every.groupBy("key").agg(F.max("c").alias("c"), F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("known").alias("known")), "model")
-    release(*done)
     bound = max(1.0, p_head * total)
+    every = functools.reduce(DataFrame.union, parts)
     names = ["key", "base", "value", "known"]
-    head = table.where(F.col("c") >= bound).select(*names).orderBy("key").toArrow()  # at most 1/p_head of each length
-    rest = table.where(F.col("c") < bound).select(*names)
-    return Model(total, unseen, longest, tuple(head.column(n).to_numpy() for n in names), rest, Bitmap(rest))
+    head, rest = every.where(F.col("c") >= bound).select(*names), every.where(F.col("c") < bound).select(*names)
+    got = head.groupBy("key").agg(F.sum("base").alias("base"), F.sum("value").alias("value"), F.max("known").alias("known")).orderBy("key").toArrow()  # at most 1/p_head of each length
+    return Model(total, unseen, longest, tuple(got.column(n).to_numpy() for n in names), rest, Bitmap(rest.select("key")))
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int = 500) -> DataFrame:
@@ -222,7 +216,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
     """
     carried = docs.select(*[c for c in docs.columns if c != text_col], F.col(text_col).alias("__text"))
     sent = docs.sparkSession.sparkContext.broadcast((model.longest, model.head, model.within))
-    new = "n_tokens long, __known long, __base double, __score double, __keys array<long>, __tf array<int>"
+    new = "n_tokens long, __known long, __base double, __score double, __keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longest, (keys, *values), within = sent.value
@@ -240,26 +234,24 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
                     hit = at >= 0
                     for k, v in enumerate(values):
                         sums[k] += np.bincount(at_row[hit], v[at[hit]], n)
-                    open_ = ~hit & within(key)
+                    open_ = within(key)
                     more.append((at_row[open_], key[open_]))
                 rows, rest = (np.concatenate(x) for x in zip(*more, strict=True))
-                by = np.lexsort((rest, rows))
+                by = np.argsort(rows, kind="stable")
                 rows, rest = rows[by], rest[by]
-                first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (rest[1:] != rest[:-1])]) if len(rows) else np.zeros(0, np.int64)
-                tf = np.diff(np.r_[first, len(rows)]).astype(np.int32)
-                offsets = pa.array(np.searchsorted(rows[first], np.arange(n + 1)).astype(np.int32))
+                offsets = pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32))
                 kept = [f.name for f in batch.schema if f.name != "__text"]
-                made = [pa.array(lengths.astype(np.int64)), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(offsets, pa.array(rest[first])), pa.ListArray.from_arrays(offsets, pa.array(tf))]
+                made = [pa.array(lengths.astype(np.int64)), pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(offsets, pa.array(rest))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, *(x.split()[0] for x in new.split(", "))])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields if f.name != "__text"), new])
     first = materialize(carried.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored", scan=True)
-    rest = first.select("__row", F.explode(F.arrays_zip("__keys", "__tf")).alias("x")).select("__row", F.col("x.__keys").alias("key"), F.col("x.__tf").alias("tf"))
-    sums = [F.sum(F.col("tf") * F.col(a)).alias(b) for a, b in (("base", "__more"), ("value", "__longer"), ("known", "__also"))]
+    rest = first.select("__row", F.explode("__keys").alias("key"))
+    sums = [F.sum(a).alias(b) for a, b in (("base", "__more"), ("value", "__longer"), ("known", "__also"))]
     summed = rest.join(model.rest, "key").groupBy("__row").agg(*sums)
     total = lambda own, more: F.col(own) + F.coalesce(more, F.lit(0.0)) + F.col("n_tokens") * F.lit(model.unseen)
     return (
-        first.drop("__keys", "__tf").join(summed, "__row", "left")
+        first.drop("__keys").join(summed, "__row", "left")
         .withColumns({
             "n_known": F.col("__known") + F.coalesce("__also", F.lit(0)), "train_tokens": F.lit(model.total).cast("long"),
             "base_score": total("__base", "__more"), "score": total("__score", "__longer"),

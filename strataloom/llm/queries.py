@@ -66,7 +66,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = pst.fit(docs.where(bucket("doc_id", 5) != 1).select("text"), depth=4)
+    model = pst.fit(docs.where(bucket("doc_id", 5) != 1).select("text"), depth=3)
     marked = docs.withColumn("held_out", F.coalesce(bucket("doc_id", 5) == 1, F.lit(False)))
     return pst.score(marked, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
