@@ -79,19 +79,22 @@ def runs(hashes: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 
 class Bitmap:
-    """Which keys may be in a set: 16 bits a key, at most most_bits (128 MB). Beyond that more of the other keys pass; joins leave those out."""
+    """Which keys may be in a set: two of 16 bits a key, at most most_bits (128 MB). Beyond that more of the other keys pass; joins leave those out."""
 
     def __init__(self, keys: DataFrame, most_bits: int = 1 << 30):
         bits = min(most_bits, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+        both = F.array(F.col("key"), F.shiftrightunsigned("key", 31))
         slot = F.pmod("key", F.lit(bits))
-        marked = keys.select(F.shiftright(slot, 15).alias("k"), F.pmod(slot, F.lit(32768)).alias("at")).groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits"))
+        marked = keys.select(F.explode(both).alias("key")).select(F.shiftright(slot, 15).alias("k"), F.pmod(slot, F.lit(32768)).alias("at")).groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits"))
         self.last, self.bits = bits - 1, np.zeros(bits // 8, np.uint8)
         for r in marked.toLocalIterator():
             self.bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = keys & self.last
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        out = np.ones(len(keys), bool)
+        for at in (keys & self.last, (keys.view(np.uint64) >> np.uint64(31)).view(np.int64) & self.last):
+            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return out
 
 
 def _entries(docs: DataFrame, level: int, least: int, frequent: Bitmap | None, opened: Bitmap | None, most: int = 2_000_000) -> DataFrame:
@@ -188,7 +191,9 @@ def fit(docs: DataFrame, *, depth: int | None = 3, least: int = 2, gain: float =
             .select("ctx", "low", "c", "open", "node", "lead", F.when(F.col("node") & F.col("lead"), F.col("seen")).alias("seen"), F.when(F.col("node"), F.log10("left")).alias("left"),
                     F.when(F.col("open"), F.when(F.col("node"), p).otherwise(F.col("above"))).alias("p"), F.when(F.col("node"), F.log10(p / F.col("above")) - F.log10("left")).alias("value"))
         )
-        written = materialize(_named(judged), "level")
+        last = F.lit(level == depth)
+        kept = _named(judged).withColumn("ctx", F.when(F.col("lead"), F.col("ctx"))).withColumn("p", F.when(~last, F.col("p"))).drop("low")
+        written = materialize(kept.where(~last | F.col("node")), "level")
         parts.append(written.where("node AND lead").select(F.col("ctx").alias("key"), F.col("seen").alias("c"), zero, "left", F.lit(0).cast("long")))
         parts.append(written.where("node").select("key", "c", zero, "value", F.lit(0).cast("long")))
         going_on, longest = written.where("open").select("key", "p"), level + 1
