@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 _LINE = ["__h1", "__h2"]
 _PLACE = ("__id", "__no", "__t")
 
@@ -29,13 +31,7 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, site_col: str) ->
     )
 
 
-def line_spread(docs: DataFrame, *, min_sites: int = 6, lg_k: int = 10, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """Boilerplate lines: __h1, __h2, __first (the place that keeps it), __spread.
-
-    A sketch of 2**lg_k buckets has a relative error of about 0.83 / sqrt(2**lg_k); estimates within
-    five such errors (and at least one site) of min_sites are replaced by exact distinct counts.
-    """
-    rows = _occurrences(docs, id_col, text_col, site_col)
+def _spread(rows: DataFrame, min_sites: int, lg_k: int) -> DataFrame:
     spread = (
         rows.groupBy(*_LINE)
         .agg(F.hll_sketch_agg("__site", F.lit(lg_k)).alias("__sketch"), F.min(F.struct(*_PLACE)).alias("__first"), F.count("__site").alias("__n"))
@@ -43,9 +39,9 @@ def line_spread(docs: DataFrame, *, min_sites: int = 6, lg_k: int = 10, id_col:
         .select(*_LINE, "__first", F.hll_sketch_estimate("__sketch").alias("__spread"))
     )
     slack = max(1.0, 5 * 0.83 / (2**lg_k) ** 0.5 * min_sites)
-    near = spread.where(F.abs(F.col("__spread") - min_sites) <= slack)
+    near = F.abs(F.col("__spread") - min_sites) <= slack
     exact = (
-        rows.join(near.select(*_LINE), _LINE, "left_semi")
+        _meet(rows, spread.where(near).select(*_LINE))
         .groupBy(*_LINE, "__site").agg(F.min(F.struct(*_PLACE)).alias("__first"))
         .groupBy(*_LINE).agg(F.count("__site").alias("__spread"), F.min("__first").alias("__first"))
     )
@@ -53,25 +49,45 @@ def line_spread(docs: DataFrame, *, min_sites: int = 6, lg_k: int = 10, id_col:
     return sure.unionByName(exact.where(F.col("__spread") >= min_sites).select(*sure.columns))
 
 
+def _meet(rows: DataFrame, lines: DataFrame, salts: int = 32) -> DataFrame:
+    """rows joined with lines by line hash. One line may hold a third of all rows: each line stands once per salt, and its rows are dealt to the salts."""
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64("__id", "__t", "__no"), F.lit(salts)).cast("int"))
+    stood = lines.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(stood, [*_LINE, "__salt"]).drop("__salt")
+
+
+def line_spread(docs: DataFrame, *, min_sites: int = 6, lg_k: int = 10, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+    """Boilerplate lines: __h1, __h2, __first (the place that keeps it), __spread.
+
+    A sketch of 2**lg_k buckets has a relative error of about 0.83 / sqrt(2**lg_k); estimates within
+    five such errors (and at least one site) of min_sites are replaced by exact distinct counts.
+    """
+    return _spread(_occurrences(docs, id_col, text_col, site_col), min_sites, lg_k)
+
+
 def line_dedup(docs: DataFrame, *, min_sites: int = 6, lg_k: int = 10, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """docs with the text cleaned, plus n_lines and n_removed (long).
+    """docs with the text cleaned, plus n_lines and n_removed (long), which replace columns of these names.
 
     A line counts after trimming spaces; blank lines are never removed. Null site: counts
     towards no spread. Null text: stays null, with no lines. An empty text is one blank line. Rows
     that repeat id and text are one place; rows that share only the id are told apart by a hash of the text. Null ids
-    sort first. Extra columns pass through; names that begin with two underscores are reserved.
+    sort first. Extra columns pass through; names that begin with two underscores are reserved, and raise.
+
+    The places of lines (two hashes, id, number, site) are written once; the two aggregations and the list of what goes read them, so that texts are split twice only.
     """
-    boilerplate = line_spread(docs, min_sites=min_sites, lg_k=lg_k, id_col=id_col, text_col=text_col, site_col=site_col)
+    if reserved := [c for c in docs.columns if c.startswith("__")]:
+        raise ValueError(f"reserved column names: {reserved}")
+    rows = materialize(_occurrences(docs, id_col, text_col, site_col), "lines", scan=True)
+    boilerplate = materialize(_spread(rows, min_sites, lg_k).select(*_LINE, "__first"), "boilerplate")
     drop = (
-        _occurrences(docs, id_col, text_col, site_col)
-        .join(boilerplate.select(*_LINE, "__first"), _LINE)
+        _meet(rows, boilerplate)
         .where(~F.struct(*_PLACE).eqNullSafe(F.col("__first")))
         .groupBy("__id", "__t").agg(F.collect_set("__no").alias("__drop"))
     )
-    # The join carries the lines as an array, so that what is above it picks lines without splitting again.
-    split = docs.withColumns({"__key": F.xxhash64(text_col), text_col: _lines(F.col(text_col))})
-    joined = split.join(drop, split[id_col].eqNullSafe(drop["__id"]) & (split["__key"] == drop["__t"]), "left").drop("__id", "__t", "__key")
-    lines, gone = F.col(text_col), F.coalesce(F.col("__drop"), F.array().cast("array<int>"))
+    keyed = docs.drop("n_lines", "n_removed").withColumn("__key", F.xxhash64(text_col))
+    joined = keyed.join(drop, keyed[id_col].eqNullSafe(drop["__id"]) & (keyed["__key"] == drop["__t"]), "left").drop("__id", "__t", "__key")
+    split = joined.withColumn("__lines", _lines(F.col(text_col)))
+    lines, gone = F.col("__lines"), F.coalesce(F.col("__drop"), F.array().cast("array<int>"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    text = F.when(F.size(gone) == 0, F.array_join(lines, "\n")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return joined.withColumns({"n_lines": F.when(lines.isNull(), 0).otherwise(F.size(lines)).cast("long"), "n_removed": F.size(gone).cast("long"), text_col: text}).drop("__drop")
+    text = F.when(F.size(gone) == 0, F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    return split.withColumns({"n_lines": F.when(lines.isNull(), 0).otherwise(F.size(lines)).cast("long"), "n_removed": F.size(gone).cast("long"), text_col: text}).drop("__drop", "__lines")
