@@ -22,9 +22,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Compressor:
     """Learned from labelled rows whose crc32(doc_id) mod 5 is not 0."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    labelled = docs.select("doc_id", "text").where(bucket("doc_id", 5) != 0).join(labels.where(bucket("doc_id", 5) != 0), "doc_id")
-    rows, weight = toxicity.sample(labelled)
+    learned = bucket("doc_id", 5) != 0
+    rows, weight = toxicity.sample(docs.select("doc_id", "text").where(learned), table(spark, sf_dir, "labels").select("doc_id", "toxic").where(learned))
     return toxicity.fit(rows, ordinary_weight=weight)
 
 

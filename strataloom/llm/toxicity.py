@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled text: ordinary windows alone, and the same background followed by the segments that
-are typical of toxic texts (word beginnings whose document frequency differs most). A window of a text is compressed with either; the bytes that
-the toxic dictionary saves are its distance. How often windows pass each threshold of bytes, over a whole text, is calibrated to a probability
-on labelled texts that took no part in the dictionaries.
+Two dictionaries are trained by zstandard's own trainer on labelled text: one on windows of ordinary texts, one on the passages of toxic texts that are typical of
+them (word beginnings whose document frequency differs most between the labels; on whole toxic windows the trainer picks the words that both have in common).
+The toxic dictionary stands behind the ordinary one, so that what both know costs the same. A window of a text is compressed with the ordinary one and with both; the
+bytes that the toxic one saves are its distance. How often windows pass each threshold of bytes, over a whole text, is calibrated to a probability on labelled
+texts that took no part in the dictionaries.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import materialize, utf8
 
 _SPACES = bytes(range(9, 14))
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + _SPACES, bytes(range(97, 123)) + b" " * 5)
@@ -99,44 +100,73 @@ class Compressor:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(z @ self.weight[:-1] + self.weight[-1]))))))
 
 
-def fit(rows: list[tuple[str, int]], *, ordinary_weight: float = 1.0, background: int = 65536, least_z: float = 6.0, level: int = 3) -> Compressor:
-    """From (text, label) in a fixed order: two of three texts make the dictionaries, the third calibrates. Without both labels: score 0."""
+def _dictionary(size: int, samples: list[bytes]) -> bytes:
+    """What zstandard's trainer makes of the samples; where they are too few for it, their own last bytes."""
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:] or b" "
+
+
+def fit(rows: list[tuple[str, int]], *, ordinary_weight: float = 1.0, ordinary_bytes: int = 65536, toxic_bytes: int = 4096, samples: int = 40_000, least_z: float = 6.0, least_texts: int = 3, level: int = 3) -> Compressor:
+    """From (text, label) in a fixed order: two of three texts make the dictionaries, the third calibrates. Without both labels: score 0.
+
+    ordinary_bytes and toxic_bytes are the sizes of the dictionaries; the first is trained on at most `samples` windows of 64 bytes, dealt evenly over its texts.
+    A word beginning is typical if it stands in least_texts toxic texts and its share of them exceeds that of ordinary texts by least_z standard deviations.
+    """
     build, held = [r for i, r in enumerate(rows) if i % 3], [r for i, r in enumerate(rows) if i % 3 == 0]
-    seen, total, ordinary = [Counter(), Counter()], [0, 0], []
+    seen, total, texts = [Counter(), Counter()], [0, 0], [[], []]
     for text, y in build:
         data = normal(text)
         total[y] += 1
         seen[y].update(_stems(data))
-        if not y:
-            ordinary.append(data)
-    z = {}
+        texts[y].append(data)
+    typical = set()
     for s, c1 in seen[1].items():
-        if c1 >= 3:
+        if c1 >= least_texts:
             c0 = seen[0][s]
             q = (c0 + c1 + 1) / (sum(total) + 2)
-            z[s] = ((c1 + 0.5) / (total[1] + 1) - (c0 + 0.5) / (total[0] + 1)) / math.sqrt(q * (1 - q) * (1 / (total[0] + 0.5) + 1 / (total[1] + 0.5)))
-    typical = b"".join(sorted((s for s in z if z[s] >= least_z), key=lambda s: (z[s], s)))[-16384:]
-    share, pieces = max(1, background // max(1, len(ordinary))), []
-    for k, data in enumerate(ordinary):  # an equal part of each text, from places that move on
-        at = (k * 7919) % max(1, len(data) - share)
-        pieces.append(data[at : at + share])
-    base = b"".join(pieces)[:background] or b" "
-    made = Compressor(base, base + typical, level)
+            z = ((c1 + 0.5) / (total[1] + 1) - (c0 + 0.5) / (total[0] + 1)) / math.sqrt(q * (1 - q) * (1 / (total[0] + 0.5) + 1 / (total[1] + 0.5)))
+            if z >= least_z:
+                typical.add(s)
+    windows = [data[i : i + 64] for data in texts[0] for i in range(0, len(data), 64)]
+    step = max(1, -(-len(windows) // samples))
+    ordinary = _dictionary(ordinary_bytes, windows[::step])
+    toxic = b""
+    if typical:
+        find = re.compile(b"|".join(re.escape(s) for s in sorted(typical, key=lambda s: (-len(s), s))))
+        toxic = _dictionary(toxic_bytes, [m[0] for data in texts[1] for m in find.finditer(data)])
+    made = Compressor(ordinary, ordinary + toxic, level)
     y = np.array([label for _, label in held], float)
     if len(y) and 0 < y.sum() < len(y):
         made.calibrate(np.array([made.features(t) for t, _ in held]), y, ordinary_weight)
     return made
 
 
-def sample(labelled: DataFrame, *, per_label: int = 4000, chars: int = 20_000, text_col: str = "text", label_col: str = "toxic") -> tuple[list[tuple[str, int]], float]:
-    """At most per_label texts of each label, of at most chars characters, drawn by a hash of the text, in the order of that hash; and how many ordinary rows one of the sample stands for, as a multiple of the same for toxic ones."""
-    rows = labelled.where(F.col(text_col).isNotNull() & (F.length(text_col) <= chars) & F.col(label_col).isin(0, 1)).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y"), F.pmod(F.xxhash64(F.lit(9), text_col), F.lit(1_000_000_000)).alias("draw"))
+def sample(docs: DataFrame, labels: DataFrame, *, per_label: int = 4000, chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[tuple[str, int]], float]:
+    """At most per_label distinct texts of each label, drawn by a hash of the text and in the order of that hash; of a text longer than chars, a stretch of chars from a
+    place that the hash picks. And how many ordinary texts one of the sample stands for, as a multiple of the same for toxic ones.
+
+    Labels meet ids and hashes only; repeats go before anything is drawn, on the executors; only drawn texts are fetched.
+    """
+    draw = F.pmod(F.xxhash64(F.lit(9), F.col(text_col)), F.lit(1_000_000_000_000))
+    known = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), draw.alias("__draw"))
+    marks = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
+    marked = materialize(known.join(marks, "__id").groupBy("__draw", "__y").agg(F.min("__id").alias("__id")), "labelled")
+    seen = {r["__y"]: r["n"] for r in marked.groupBy("__y").agg(F.count("*").alias("n")).collect()}
+    if not seen:
+        return [], 1.0
+    bound = F.lit(0)
+    for y, n in seen.items():
+        bound = F.when(F.col("__y") == y, F.lit(int(min(1.0, 1.1 * per_label / n) * 1_000_000_000_000))).otherwise(bound)
+    chosen = marked.where(F.col("__draw") < bound)  # some 1.1 * per_label of each label
+    start = F.pmod("__draw", F.greatest(F.length(text_col) - chars + 1, F.lit(1))) + 1
+    stretch = F.substring(F.col(text_col), start.cast("int"), F.lit(chars))
+    keyed = docs.select(F.col(id_col).alias("__id"), draw.alias("__draw"), F.col(text_col)).join(F.broadcast(chosen), ["__id", "__draw"])
+    got = keyed.select("__draw", "__y", stretch.alias("__text")).distinct().collect()
     out = []
-    seen = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    for y, n in sorted(seen.items()):
-        share = min(1.0, 1.1 * per_label / n)
-        got = rows.where((F.col("y") == y) & (F.col("draw") < int(share * 1_000_000_000))).collect()
-        out += sorted({(r["draw"], r["text"], y) for r in got})[:per_label]
+    for y in sorted(seen):
+        out += sorted((r["__draw"], r["__text"], y) for r in got if r["__y"] == y)[:per_label]
     drawn = Counter(y for _, _, y in out)
     weight = (seen[0] / drawn[0]) / (seen[1] / drawn[1]) if drawn[0] and drawn[1] else 1.0
     return [(t, y) for _, t, y in sorted(out)], weight
