@@ -46,7 +46,7 @@ def parents(blocks: list[Block], limits: Limits) -> Iterator[list[Block]]:
         n = len(b.text.split())
         starts = b.kind in ("heading", "page_break")
         turns = group and b.kind == "heading" and b.section != group[-1].section
-        if group and (turns or held + n > limits.parent_most or (starts and held > limits.parent_target)):
+        if group and (turns or held + n > limits.parent_most or (starts and held + n > limits.parent_target)):
             yield group
             group, held = [], 0
         if not n:  # a page break only ends groups
@@ -66,9 +66,9 @@ def pieces(block: Block, limits: Limits) -> Iterator[str]:
     if size(block.text) <= limits.child_most:
         yield block.text
         return
-    lines = block.text.split("\n")
+    lines = [x for x in block.text.split("\n") if x.strip()]
     head = "\n".join(lines[:2])
-    fits = block.kind == "table" and all(size(head) + size(x) <= limits.child_target for x in lines[2:]) and len(lines) > 2
+    fits = block.kind == "table" and size(head) < limits.child_most and all(size(head) + size(x) <= limits.child_most for x in lines[2:]) and len(lines) > 2
     if fits:
         part, n = [], size(head)
         for x in lines[2:]:
@@ -106,7 +106,7 @@ def children(group: list[Block], limits: Limits) -> Iterator[tuple[str, int, lis
 
 
 def hierarchical_chunks(block_rows: DataFrame, limits: Limits | None = None) -> DataFrame:
-    """One row per child: its parent's number and size, its position in the document, text, tokens, block ordinals, and whether it is a document's
+    """One row per child: its parent's number and size, its position in the document, text, tokens, block ordinals, and whether it is a parent's
     last one and short.
 
     block_rows: document_id, ordinal, block_type, section_path, text. A document's blocks meet in one task, as its text did before;
@@ -120,11 +120,11 @@ def hierarchical_chunks(block_rows: DataFrame, limits: Limits | None = None) ->
         out = []
         for p, group in enumerate(parents(blocks, limits)):
             whole = sum(len(b.text.split()) for b in group)
-            out += [[key[0], p, whole, 0, *c, False] for c in children(group, limits)]
+            own = [[key[0], p, whole, 0, *c, False] for c in children(group, limits)]
+            own[-1][-1] = own[-1][5] < limits.child_least
+            out += own
         for k, row in enumerate(out):
             row[3] = k
-        if out:
-            out[-1][-1] = out[-1][5] < limits.child_least
         return pd.DataFrame(out, columns=["document_id", "parent", "parent_tokens", "position", "text", "n_tokens", "ordinals", "short"])
 
     some = F.trim(F.translate("text", "\n\r\t", "   ")) != ""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.storage import materialize, tasks
+
 
 def stable_id(*parts: Column) -> Column:
     """SHA-256 of the parts joined by the unit separator."""
@@ -12,18 +14,21 @@ def stable_id(*parts: Column) -> Column:
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """document_id, ordinal, text, block_id: one block per non-blank line run, ends trimmed, ordinals contiguous from 0. Docs: document_id, text."""
-    lines = F.split(F.regexp_replace(F.col("text"), "\r\n?", "\n"), "\n[ \t]*\n|\n")
-    kept = F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != "")
-    out = docs.select("document_id", F.posexplode(kept).alias("ordinal", "text"))
-    return out.withColumn("block_id", stable_id(F.col("document_id"), F.col("ordinal"), F.col("text")))
-
+    """document_id, ordinal, text, start, end, block_id: paragraphs, which blank lines or the end of the text end; ordinals contiguous from 0. Docs: document_id, text.
 
-def chunks(block_rows: DataFrame, words: int = 120) -> DataFrame:
-    """document_id, chunk, n_blocks, n_words: consecutive blocks filled up to about `words` words; the running sum decides the chunk."""
-    w = Window.partitionBy("document_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    sized = block_rows.withColumn("n", F.size(F.split("text", " +")))
-    return sized.withColumn("chunk", F.floor(F.coalesce(F.sum("n").over(w), F.lit(0)) / words)).groupBy("document_id", "chunk").agg(F.count("*").alias("n_blocks"), F.sum("n").alias("n_words"))
+    start and end are offsets in the text with line feeds only, of the paragraph without white space at its ends. block_id hashes document, ordinal and the
+    text with runs of white space as one space. Null or blank text has no block.
+    """
+    text = F.regexp_replace(F.col("text"), "\r\n?", "\n")
+    gap = "\n[ \t\n\f\r]*\n"
+    row = Window.partitionBy("document_id", "__row").orderBy("at")
+    cut = docs.select("document_id", text.alias("__t")).withColumn("__row", F.monotonically_increasing_id())
+    parts = cut.select("document_id", "__row", F.posexplode(F.arrays_zip(F.split("__t", gap, -1).alias("p"), F.regexp_extract_all("__t", F.lit(gap), 0).alias("s"))).alias("at", "x")).select("document_id", "__row", "at", "x.p", "x.s")
+    before = F.coalesce(F.sum(F.length("p") + F.coalesce(F.length("s"), F.lit(0))).over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    space = " \t\n\f\r"
+    placed = parts.withColumns({"text": F.btrim("p", F.lit(space)), "start": before + F.length("p") - F.length(F.ltrim("p", F.lit(space)))}).where("text <> ''")
+    out = placed.withColumn("ordinal", (F.row_number().over(row) - 1).cast("int")).withColumn("end", F.col("start") + F.length("text"))
+    return out.select("document_id", "ordinal", "text", "start", "end", stable_id(F.col("document_id"), F.col("ordinal"), F.regexp_replace("text", "[ \t\n\f\r]+", " ")).alias("block_id"))
 
 
 def exact_duplicates(docs: DataFrame, key: str = "text") -> DataFrame:
@@ -66,7 +71,8 @@ def spread_sample(rows: DataFrame, id_col: str, n: int) -> DataFrame:
     if total <= n:
         return rows
     wanted = {round(k * (total - 1) / (n - 1)) for k in range(n)} if n > 1 else {0}
-    ranged = rows.repartitionByRange(id_col).withColumn("__p", F.spark_partition_id())
+    # Ranges come from a sample that each execution draws anew, so they are written once, with their numbers.
+    ranged = materialize(rows.repartitionByRange(tasks(rows.sparkSession), id_col).withColumn("__p", F.spark_partition_id()), "ranges", scan=True)
     sizes = {r["__p"]: r["c"] for r in ranged.groupBy("__p").agg(F.count("*").alias("c")).collect()}  # one row per partition
     start, offset = {}, 0
     for p in sorted(sizes):

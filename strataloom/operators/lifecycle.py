@@ -21,10 +21,11 @@ def activated(revisions: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def rolled_back(revisions: DataFrame, failed: DataFrame) -> DataFrame:
-    """revisions with those in failed (revision_id) FAILED, and each document that lost its ACTIVE one back on its greatest INACTIVE revision."""
+    """revisions with those in failed (revision_id) FAILED, and each document that lost its ACTIVE one back on its newest INACTIVE revision: by deactivated_at, else created_at, then id."""
     marked = revisions.join(failed.select("revision_id", F.lit(True).alias("__f")).distinct(), "revision_id", "left")
     lost = F.max(F.col("__f") & (F.col("status") == "ACTIVE")).over(Window.partitionBy("document_id"))
-    back = F.max(F.when((F.col("status") == "INACTIVE") & F.col("__f").isNull(), F.col("revision_id"))).over(Window.partitionBy("document_id"))
+    newest = F.struct(F.coalesce("deactivated_at", "created_at").alias("at"), F.col("revision_id").alias("id"))
+    back = F.max(F.when((F.col("status") == "INACTIVE") & F.col("__f").isNull(), newest)).over(Window.partitionBy("document_id"))["id"]
     out = marked.withColumn("__lost", lost).withColumn("__back", F.when(F.col("__lost"), back))
     status = F.when(F.col("__f"), "FAILED").when(F.col("revision_id") == F.col("__back"), "ACTIVE").otherwise(F.col("status"))
     return out.withColumn("status", status).drop("__f", "__lost", "__back")

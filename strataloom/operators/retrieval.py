@@ -15,13 +15,14 @@ def unit(v: Column) -> Column:
 
 
 def vector_top_k(queries: DataFrame, records: DataFrame, k: int, max_queries: int = 10_000) -> DataFrame:
-    """query_id, id, score, rank: the k records (id, vector) of greatest cosine similarity per query (query_id, vector); ties by id.
+    """query_id, id, score, rank: the k records (id, vector) of greatest cosine similarity per query (query_id, vector); 0 with a zero vector; ties by id.
 
     Queries are broadcast against all records in blocks of about max_queries; each block ranks its queries in full.
     """
     blocks = max(1, -(-queries.count() // max_queries))
     r = records.select("id", F.col("vector").alias("__r"), unit(F.col("vector")).alias("__nr"))
-    score = F.round(dot(F.col("__q"), F.col("__r")) / (F.col("__nq") * F.col("__nr")), 6)
+    norms = F.col("__nq") * F.col("__nr")
+    score = F.round(F.when(norms > 0, dot(F.col("__q"), F.col("__r")) / norms).otherwise(0.0), 6)
     ranked = []
     for block in range(blocks):
         own = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block) if blocks > 1 else queries

@@ -32,23 +32,18 @@ def _docs(spark, d):
 
 
 _BLOCKS = r"""
-WITH x AS (SELECT doc_id, list_filter(list_transform(string_split_regex(regexp_replace(text, '\r\n?', chr(10), 'g'), '\n[ \t]*\n|\n'), lambda s: trim(s, ' ')), lambda s: s <> '') AS ts FROM documents),
-b AS (SELECT doc_id AS document_id, generate_subscripts(ts, 1) - 1 AS ordinal, unnest(ts) AS text FROM x)
+WITH x AS (SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS t FROM documents),
+p AS (SELECT doc_id, unnest(string_split_regex(t, '\n[ \t\n\f\r]*\n')) AS p, unnest(list_concat(regexp_extract_all(t, '\n[ \t\n\f\r]*\n'), [''])) AS s, generate_subscripts(string_split_regex(t, '\n[ \t\n\f\r]*\n'), 1) AS nth FROM x),
+o AS (SELECT doc_id, nth, trim(p, E' \t\n\f\r') AS text, coalesce(sum(length(p) + length(s)) OVER (PARTITION BY doc_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(p) - length(ltrim(p, E' \t\n\f\r')) AS start FROM p),
+b AS (SELECT doc_id AS document_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY nth) - 1 AS INTEGER) AS ordinal, text, CAST(start AS BIGINT) AS start FROM o WHERE text <> '')
 """
 
 
-@query(_BLOCKS + "SELECT document_id, ordinal, text, sha256(concat_ws(chr(31), document_id, ordinal, text)) AS block_id FROM b")
+@query(_BLOCKS + r"""SELECT *, start + length(text) AS "end", sha256(concat_ws(chr(31), document_id, ordinal, regexp_replace(text, '[ \t\n\f\r]+', ' ', 'g'))) AS block_id FROM b""")
 def text_blocks(spark, d):
     return corpus.blocks(_docs(spark, d))
 
 
-@query(_BLOCKS + """, s AS (SELECT document_id, ordinal, len(string_split_regex(text, ' +')) AS n FROM b),
-c AS (SELECT document_id, n, CAST(floor(coalesce(sum(n) OVER (PARTITION BY document_id ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 120) AS BIGINT) AS chunk FROM s)
-SELECT document_id, chunk, count(*) AS n_blocks, CAST(sum(n) AS BIGINT) AS n_words FROM c GROUP BY 1, 2""")
-def chunked_blocks(spark, d):
-    return corpus.chunks(corpus.blocks(_docs(spark, d)))
-
-
 @query("SELECT count(*) AS duplicate_groups, CAST(coalesce(sum(c), 0) AS BIGINT) AS rows, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS removable FROM (SELECT text, count(*) AS c FROM documents GROUP BY text HAVING count(*) > 1)")
 def exact_duplicates(spark, d):
     return corpus.exact_duplicates(_docs(spark, d))
@@ -91,11 +86,11 @@ def removed_sources(spark, d):
 def _evidence(spark, d):
     """Suppliers and parts as entities, orders as parents; returned lines are provisional, finished orders active."""
     line = _t(spark, d, "lineitem")
-    e = line.select(F.concat(F.lit("s"), "l_suppkey").alias("source"), F.concat(F.lit("p"), F.col("l_partkey") % 50).alias("target"), F.col("l_orderkey").alias("parent_id"), (F.col("l_returnflag") == "R").alias("provisional"))
+    e = line.select(F.concat(F.lit("s"), "l_suppkey").alias("source"), F.concat(F.lit("p"), "l_partkey").alias("target"), F.col("l_orderkey").alias("parent_id"), (F.col("l_returnflag") == "R").alias("provisional"))
     return e, _t(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("parent_id"))
 
 
-_EDGES = "e AS (SELECT 's' || l_suppkey AS source, 'p' || (l_partkey % 50) AS target, count(DISTINCT l_orderkey) AS weight FROM lineitem WHERE l_returnflag <> 'R' AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1, 2)"
+_EDGES = "e AS (SELECT 's' || l_suppkey AS source, 'p' || l_partkey AS target, count(DISTINCT l_orderkey) AS weight FROM lineitem WHERE l_returnflag <> 'R' AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1, 2)"
 
 
 @query(f"WITH {_EDGES} SELECT * FROM e")
@@ -111,11 +106,11 @@ def entity_degrees(spark, d):
     return graph.degrees(relation_weights(spark, d))
 
 
-@query(f"""WITH {_EDGES}, {_BOTH}, one AS (SELECT DISTINCT u AS seed, v AS node, 1 AS hop FROM b WHERE u IN ('s1', 's2', 's3')),
+@query(f"""WITH {_EDGES}, {_BOTH}, one AS (SELECT DISTINCT u AS seed, v AS node, 1 AS hop FROM b WHERE u LIKE 's%' AND CAST(substr(u, 2) AS BIGINT) % 20 = 0),
 two AS (SELECT DISTINCT seed, v AS node, 2 AS hop FROM one JOIN b ON b.u = one.node)
 SELECT seed, node, min(hop) AS hop FROM (SELECT * FROM one UNION ALL SELECT * FROM two) WHERE seed <> node GROUP BY 1, 2""")
 def graph_neighbours(spark, d):
-    seeds = spark.createDataFrame([("s1",), ("s2",), ("s3",)], "node string")
+    seeds = _t(spark, d, "supplier").where("s_suppkey % 20 = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("node"))
     return graph.neighbours(seeds, relation_weights(spark, d), 2)
 
 
@@ -146,19 +141,19 @@ def parent_embeddings(spark, d):
 def _vectors(spark, d):
     e = _t(spark, d, "embeddings")
     records = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return retrieval.vector_top_k(records.where("id < 20").withColumnRenamed("id", "query_id"), records, 24)
+    return retrieval.vector_top_k(records.where("id % 20 = 0").withColumnRenamed("id", "query_id"), records, 24)
 
 
 def _lexical(spark, d):
-    items = _t(spark, d, "benchmark").where("item_id < 20").select(F.col("item_id").alias("query_id"), "text")
+    items = _t(spark, d, "benchmark").where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), "text")
     return retrieval.bm25_top_k(items, _t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), 24)
 
 
 _VEC = """v AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
 SELECT q.vec_id AS query_id, r.vec_id AS id, round(list_dot_product(q.embedding::DOUBLE[], r.embedding::DOUBLE[]) / (sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[])) * sqrt(list_dot_product(r.embedding::DOUBLE[], r.embedding::DOUBLE[]))), 6) AS score
-FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id < 20) QUALIFY rank <= 24)"""
+FROM embeddings q JOIN embeddings r ON q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0) QUALIFY rank <= 24)"""
 _LEX = """dt AS (SELECT doc_id AS id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS ts FROM documents), ds AS (SELECT count(*) AS n, avg(len(ts)) AS avg_len FROM dt),
-qt AS (SELECT item_id AS query_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> ''))) AS term FROM benchmark WHERE item_id < 20),
+qt AS (SELECT item_id AS query_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> ''))) AS term FROM benchmark WHERE item_id % 20 = 0),
 tf AS (SELECT id, dl, term, count(*) AS tf FROM (SELECT id, len(ts) AS dl, unnest(ts) AS term FROM dt) WHERE term IN (SELECT term FROM qt) GROUP BY 1, 2, 3), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
 l AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
 SELECT query_id, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avg_len))), 6) AS score FROM tf JOIN df USING (term) JOIN qt USING (term), ds GROUP BY 1, 2) QUALIFY rank <= 24)"""
