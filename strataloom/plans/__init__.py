@@ -1,3 +1,3 @@
 """Queries by name: registry has them all once this package is imported."""
 
-from . import more, registry, revisions  # noqa: F401
+from . import consolidation, ledger, more, registry, revisions  # noqa: F401
