@@ -25,7 +25,7 @@ def rows(columns, values):
     return [columns[i] for i in order], sorted((tuple(plain(v[i]) for i in order) for v in values), key=str)
 
 
-@pytest.mark.parametrize("name", list(registry.QUERIES))
+@pytest.mark.parametrize("name", list(registry.ORACLE_SQL))
 def test_query(spark, db, name):
     df = registry.QUERIES[name](spark, SF)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
