@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.graph import connected_components
 from . import neardup
-from .common import materialize
+from .common import materialize, release
 
 SCHEMA = "doc_id long, piece int, bin_id long, slot int, bin_offset int, start int, n_tokens int, source string"
 
@@ -59,7 +59,7 @@ class Packer:
 
 def pack_shard(pdf: pd.DataFrame, capacity: int, max_per_source: int) -> pd.DataFrame:
     """Packs one shard's pieces; a piece that fills a bin takes one for itself."""
-    pdf = pdf.sort_values(["n_tokens", "doc_id", "start", "cluster", "copy"], ascending=[False, True, True, True, True], na_position="last", kind="stable")
+    pdf = pdf.sort_values(["n_tokens", "doc_id", "start", "cluster", "row"], ascending=[False, True, True, True, True], na_position="last", kind="stable")
     source = pd.factorize(pdf["source"])[0]
     cluster = pd.factorize(pdf["cluster"])[0]
     packer = Packer(capacity, max_per_source)
@@ -78,18 +78,31 @@ def folded(text: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))))
 
 
-def with_clusters(docs: DataFrame, *, width: int = 5, text_col: str = "text") -> DataFrame:
-    """docs with cluster (long): rows linked, directly or not, as near-duplicates (shingles of width words, similarity of 0.8) or as texts equal but for case and white space."""
+def facts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster: Column | None = None, tokens: Column | None = None) -> DataFrame:
+    """What packing needs of each row, written: row (a number of its own), doc_id, source, cluster (by default of texts equal but for case and white space) and size. Texts stay where they are read."""
+    row = F.col("__row") if "__row" in docs.columns else F.monotonically_increasing_id()
+    return materialize(
+        docs.select(
+            row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+            (cluster if cluster is not None else folded(F.col(text_col))).cast("long").alias("cluster"), (tokens if tokens is not None else word_count(F.col(text_col))).cast("int").alias("size"),
+        ),
+        "facts", scan=True,
+    )
+
+
+def clustered_facts(docs: DataFrame, *, width: int = 5, text_col: str = "text", **options) -> DataFrame:
+    """facts whose cluster is that of rows linked, directly or not, as near-duplicates (shingles of width words, similarity of 0.8) or as texts equal but for case and white space."""
     rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", scan=True)
-    near = neardup.near_duplicates(rows, width=width, id_col="__row", text_col=text_col).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("b"))
-    placed = materialize(rows.select("__row", folded(F.col(text_col)).alias("h")).join(near, "__row"), "placed")
-    same = placed.groupBy("h").agg(F.min("b").alias("a"))
-    joined = connected_components(placed.select("h", "b").distinct().join(same, "h").where("a <> b").select("a", "b"), materialize)
-    cluster = placed.join(joined, placed["b"] == joined["node"], "left").select("__row", F.coalesce("component", "b").alias("cluster"))
-    return rows.join(cluster, "__row").drop("__row")
+    own = facts(rows, text_col=text_col, **options)
+    near = neardup.near_duplicates(rows, width=width, id_col="__row", text_col=text_col).select(F.col("doc_id").alias("row"), F.col("component_id").alias("b"))
+    placed = materialize(own.join(near, "row"), "placed")
+    release(rows, own)
+    same = placed.groupBy("cluster").agg(F.min("b").alias("a"))
+    joined = connected_components(placed.select("cluster", "b").distinct().join(same, "cluster").where("a <> b").select("a", "b"), materialize)
+    return placed.drop("cluster").join(joined, placed["b"] == joined["node"], "left").select("row", "doc_id", "source", F.coalesce("component", "b").alias("cluster"), "size")
 
 
-def best_fit_pack(docs: DataFrame, *, capacity: int = 2048, max_per_source: int = 4, shard_docs: int = 4096, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster: Column | None = None, tokens: Column | None = None) -> DataFrame:
+def best_fit_pack(docs: DataFrame, *, capacity: int = 2048, max_per_source: int = 4, shard_docs: int = 4096, **columns) -> DataFrame:
     """One row per piece: doc_id, piece, bin_id, slot and bin_offset in the bin, start and n_tokens in the document, source.
 
     A bin holds at most capacity tokens (by default words), no two pieces of one cluster (by default: texts equal but for case
@@ -97,20 +110,16 @@ def best_fit_pack(docs: DataFrame, *, capacity: int = 2048, max_per_source: int
     A document of k*capacity tokens and more gives k full pieces and the rest; one without tokens (null or empty text) is one piece of size 0.
     Null source: no conflict. Null or repeated ids are packed as rows of their own. Extra columns are left out.
     """
-    total = docs.count()
-    shards = max(1, -(-total // shard_docs))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    small = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        (cluster if cluster is not None else folded(F.col(text_col))).cast("long").alias("cluster"),
-        (tokens if tokens is not None else word_count(F.col(text_col))).cast("int").alias("size"),
-        F.xxhash64(text).alias("copy"),
-    )
+    return pack_facts(facts(docs, **columns), capacity=capacity, max_per_source=max_per_source, shard_docs=shard_docs)
+
+
+def pack_facts(small: DataFrame, *, capacity: int = 2048, max_per_source: int = 4, shard_docs: int = 4096) -> DataFrame:
+    """best_fit_pack of rows as facts gives them. Pieces are dealt to shards of about shard_docs documents by their row and number, so copies spread; bins never cross shards, which costs at most one open bin's rest for each size class of a shard."""
+    shards = max(1, -(-small.count() // shard_docs))
     cut = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("size") / capacity).cast("int") - 1))
     pieces = small.select(
-        "doc_id", "source", "cluster", "copy", "size", F.explode(cut).alias("piece"), F.pmod(F.xxhash64("doc_id", "copy"), F.lit(shards)).cast("int").alias("shard")
-    ).select("doc_id", "source", "cluster", "copy", "piece", "shard", (F.col("piece") * capacity).alias("start"), F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).alias("n_tokens"))
+        "row", "doc_id", "source", "cluster", "size", F.explode(cut).alias("piece")
+    ).select("row", "doc_id", "source", "cluster", "piece", F.pmod(F.xxhash64("row", "piece"), F.lit(shards)).cast("int").alias("shard"), (F.col("piece") * capacity).alias("start"), F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity).alias("n_tokens"))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:

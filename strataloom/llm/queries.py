@@ -39,8 +39,7 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = packing.with_clusters(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return packing.best_fit_pack(docs, cluster=F.col("cluster"))
+    return packing.pack_facts(packing.clustered_facts(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
