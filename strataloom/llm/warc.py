@@ -13,15 +13,16 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import tasks
+from .common import materialize, tasks
 
 _MAGIC = b"\x1f\x8b\x08"
 _EMPTY = zlib.compress(b"", 9, 31)
 _DATE = "2024-01-01T00:00:00Z"
-SCHEMA = "path string, record_offset long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+SCHEMA = "path string, record_offset long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, error string"
+_FOUND = SCHEMA + ", __split long, __end long"
 
 
 def _member(data: bytes, level: int) -> bytes:
@@ -97,38 +98,55 @@ class _Window:
             self.data, self.base = self.data[at - self.base :], at
 
 
-def members(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of every gzip member that begins in [start, end) and holds a WARC record, wherever it ends."""
+def members(file, size: int, start: int, end: int) -> Iterator[tuple[int, int, bytes | None, str | None]]:
+    """Offset, end, content and error of every gzip member that begins in [start, end) and holds a WARC record, wherever it ends.
+
+    A member that begins as a record and does not inflate to its end comes without content and with the error; so do bytes between two members that are none.
+    What is found before the first record that really begins in the range may lie inside a record from before it; read_warc leaves that out.
+    """
     w = _Window(file, size, start)
-    at = start
+    at, after = start, None  # after: where the last member ended, if it did
     while at < end:
         w.forget(at)
         k = w.data.find(_MAGIC, at - w.base)
         if k < 0:
             at = max(at, w.base + len(w.data) - 2)
             if not w.more():
+                if after is not None and after < size:
+                    yield after, size, None, "no member begins here"
                 return
             continue
         at = w.base + k
         if at >= end:
             return
-        inflate, out, pos = zlib.decompressobj(31), [], at
+        inflate, out, head, pos, error = zlib.decompressobj(31), [], b"", at, None
         try:
             while not inflate.eof:
                 if pos - w.base >= len(w.data) and not w.more():
                     raise zlib.error("ends early")
-                part = w.data[pos - w.base : pos - w.base + (1 << 16)]
-                out.append(inflate.decompress(part))
+                part = w.data[pos - w.base : pos - w.base + (1 << 16 if len(head) >= 5 else 64)]  # an error takes away what its own part gave
+                piece = inflate.decompress(part)
+                out.append(piece)
                 pos += len(part) - len(inflate.unused_data)
-                if out and len(head := b"".join(out[:2])[:5]) == 5 and head != b"WARC/":
-                    raise zlib.error("no record")
-        except zlib.error:
+                if len(head) < 5:
+                    head += piece[:5]
+                    if len(head) >= 5 and not head.startswith(b"WARC/"):
+                        raise zlib.error("no record")
+        except zlib.error as e:
+            error = str(e)
+        if error is not None and not head.startswith(b"WARC/"):
             at += 1
             continue
+        if after is not None and at > after:
+            yield after, at, None, "no member begins here"
+        if error is not None:
+            yield at, at + len(_MAGIC), None, error  # what follows is searched from its first bytes on
+            at, after = at + len(_MAGIC), None
+            continue
         content = b"".join(out)
         if content.startswith(b"WARC/"):
-            yield at, content
-        at = pos
+            yield at, pos, content, None
+        at = after = pos
 
 
 def parse_record(content: bytes) -> dict:
@@ -139,39 +157,49 @@ def parse_record(content: bytes) -> dict:
     urn = lambda k: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?\d+)>", fields.get(k, ""))) else None
     digest = fields.get("warc-payload-digest", "")
     stated = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None
-    kind = fields.get("warc-type")
+    kind, mismatch = fields.get("warc-type"), None
     if kind == "revisit":
         length = re.search(rb"(?i)^content-length:\s*(\d+)", http, re.M)
         size, found, payload = int(length[1]) if length else None, stated, None
     else:
         size, found = len(payload), hashlib.sha1(payload).hexdigest()
-        if stated not in (None, found):
-            raise ValueError(f"payload digest of {fields.get('warc-record-id')}")
+        mismatch = None if stated in (None, found) else f"payload does not match its digest {stated}"
     url = re.sub(r"%(0[0-9A-F]|1[0-9A-F]|20|25|7F)", lambda m: chr(int(m[1], 16)), fields["warc-target-uri"]) if "warc-target-uri" in fields else None
-    return {"page_id": urn("warc-record-id"), "url": url, "record_type": kind, "refers_to": urn("warc-refers-to"), "payload_bytes": size, "payload_digest": found, "payload": payload}
+    return {"page_id": urn("warc-record-id"), "url": url, "record_type": kind, "refers_to": urn("warc-refers-to"), "payload_bytes": size, "payload_digest": found, "payload": payload, "mismatch": mismatch}
 
 
 def read_warc(spark: SparkSession, path: str, *, split_bytes: int = 16 << 20, with_payload: bool = True) -> DataFrame:
     """Records of the archives below path. A split scans its byte range for gzip magic, decodes candidates to see whether they are records, and
-    owns those that begin in it. A response whose payload does not match its stated digest is an error. No archives give no rows.
+    owns those that begin in it. No archives give no rows.
+
+    A candidate inside another record's stored bytes is no record: what begins before the end of a record of an earlier split is left out. Such ends are one number
+    a split. A damaged record, bytes that are no member, and a response whose payload does not match its stated digest come as rows with error.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size")).where("size > 0")
     splits = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     dealt = splits.repartition(tasks(spark))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
-    kinds = pa.schema([pa.field(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in SCHEMA.split(", "))])
+    kinds = pa.schema([pa.field(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in _FOUND.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path_, size, start in zip(*(batch.column(c).to_pylist() for c in ("path", "size", "start")), strict=True):
-                rows = []
+                rows, held = [], 0
                 with _open(path_) as file:
-                    for at, content in members(file, size, start, min(size, start + split_bytes)):
-                        row = parse_record(content) | {"path": path_, "record_offset": at}
+                    for at, end, content, error in members(file, size, start, min(size, start + split_bytes)):
+                        row = {"path": path_, "record_offset": at, "error": error, "__split": start, "__end": end}
+                        if content is not None:
+                            row = parse_record(content) | row
+                            row["error"] = row.pop("mismatch")
                         rows.append(row if with_payload else row | {"payload": None})
-                        if len(rows) == 500:
+                        held += len(row.get("payload") or b"") if with_payload else 0
+                        if len(rows) == 500 or held > 32 << 20:
                             yield pa.RecordBatch.from_pylist(rows, schema=kinds)
-                            rows = []
+                            rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-    return dealt.mapInArrow(run, SCHEMA).select(*names)
+    found = materialize(dealt.mapInArrow(run, _FOUND), "records", scan=True)
+    ends = found.groupBy("path", "__split").agg(F.max("__end").alias("e"))
+    before = Window.partitionBy("path").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
+    reach = ends.select("path", "__split", F.max("e").over(before).alias("__reach")).where("__reach > __split")  # only where a record runs into a split
+    return found.join(reach, ["path", "__split"], "left").where("__reach IS NULL OR record_offset >= __reach").select(*names)

@@ -109,7 +109,7 @@ def test_warc_splits():
     payloads = [bytes(rng.getrandbits(8) for _ in range(rng.randrange(3000))) + magic * 3 for _ in range(60)]  # hard to compress: stored magic inside
     data = b"".join(warc.build_record(i, f"u{i}", p, None) for i, p in enumerate(payloads))
     for split in (137, 1000, len(data)):
-        got = [warc.parse_record(c) for s in range(0, len(data), split) for _, c in warc.members(_File(data), len(data), s, min(len(data), s + split))]
+        got = [warc.parse_record(c) for s in range(0, len(data), split) for _, _, c, _ in warc.members(_File(data), len(data), s, min(len(data), s + split)) if c]
         assert [(g["page_id"], g["payload"]) for g in got] == list(enumerate(payloads))
 
 
