@@ -29,8 +29,12 @@ def token_set(name: Column) -> Column:
 
 def shingles(tokens: Column, width: int = 3) -> Column:
     """Distinct runs of width tokens as text; of fewer tokens, the whole as one; without tokens, none."""
-    runs = F.transform(F.sequence(F.lit(1), F.size(tokens) - width + 1), lambda i: F.array_join(F.slice(tokens, i, width), " "))
-    return F.when(F.size(tokens) == 0, F.array().cast("array<string>")).when(F.size(tokens) < width, F.array(F.array_join(tokens, " "))).otherwise(F.array_distinct(runs))
+
+    def of(t: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(t) - width + 1), lambda i: F.array_join(F.slice(t, i, width), " "))
+        return F.when(F.size(t) == 0, F.array().cast("array<string>")).when(F.size(t) < width, F.array(F.array_join(t, " "))).otherwise(F.array_distinct(runs))
+
+    return F.get(F.transform(F.array(tokens), of), F.lit(0))  # as a lambda's variable the tokens are made once, not once a run
 
 
 def overlap(a: Column, b: Column) -> Column:
