@@ -11,8 +11,11 @@ from ..functions.text import lemma
 
 
 def lemma_groups(entities: DataFrame) -> DataFrame:
-    """canonical, members, target: entities (id, name) that share a lemma, if more than one; the least id is the merge target."""
-    return entities.groupBy(lemma(F.col("name")).alias("canonical")).agg(F.count("*").alias("members"), F.min("id").alias("target")).where("members > 1")
+    """canonical, members, target: entities (id, name, in_scope) that share a lemma, if more than one and any is in scope. The merge target is the least id of those
+    out of scope, which were there before; without such, the least id. Without in_scope every entity is in scope."""
+    scope = F.col("in_scope") if "in_scope" in entities.columns else F.lit(True)
+    got = entities.withColumn("__s", F.coalesce(scope, F.lit(False))).groupBy(lemma(F.col("name")).alias("canonical"))
+    return got.agg(F.count("*").alias("members"), F.min(F.struct("__s", "id"))["id"].alias("target"), F.max("__s").alias("__any")).where("members > 1 AND __any").drop("__any")
 
 
 def duplicate_anchors(entities: DataFrame, distance: int = 2) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import normal_name
+
 
 def relation_weights(evidence: DataFrame, active: DataFrame) -> DataFrame:
     """source, target, weight: distinct active, verified parents of each relation (source, target, parent_id, provisional); loops are left out."""
@@ -50,8 +52,15 @@ def quality(entities: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def weighted_mean(children: DataFrame) -> DataFrame:
-    """parent_id, dim, value: unit-length weighted mean of the vectors of children (parent_id, vector, weight)."""
-    parts = children.select("parent_id", F.greatest(F.col("weight"), F.lit(1)).cast("double").alias("w"), F.posexplode("vector").alias("dim", "x"))
-    mean = parts.groupBy("parent_id", "dim").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("m"))
-    norm = mean.groupBy("parent_id").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"))
-    return mean.join(norm, "parent_id").select("parent_id", "dim", F.round(F.col("m") / F.col("norm"), 6).alias("value"))
+    """parent_id, dim, value: unit-length weighted mean of the vectors of children (parent_id, position, text, vector, weight).
+
+    Of children whose texts are equal but for case, punctuation and white space the first by position stands, even if it has no vector and another has. A weight is
+    at least 1. Vectors of different dimension and a mean of length zero are errors; a parent without any vector has no rows.
+    """
+    first = Window.partitionBy("parent_id", normal_name(F.col("text"))).orderBy("position")
+    once = children.withColumn("__k", F.row_number().over(first)).where("__k = 1 AND vector IS NOT NULL")
+    parts = once.select("parent_id", F.greatest(F.coalesce("weight", F.lit(1)), F.lit(1)).cast("double").alias("w"), F.size("vector").alias("d"), F.posexplode("vector").alias("dim", "x"))
+    mean = parts.groupBy("parent_id", "dim").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("m"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+    norm = mean.groupBy("parent_id").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    sound = norm.where(F.assert_true(F.col("lo") == F.col("hi"), F.lit("vectors of different dimension")).isNull() & F.assert_true(F.col("norm") > 0, F.lit("mean vector of length zero")).isNull())
+    return mean.join(sound.select("parent_id", "norm"), "parent_id").select("parent_id", "dim", F.round(F.col("m") / F.col("norm"), 6).alias("value"))

@@ -131,11 +131,12 @@ def content_fingerprint(spark, d):
     return _t(spark, d, "orders").groupBy("o_orderstatus").agg(*graph.fingerprint(F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderpriority")))
 
 
-@query("""WITH p AS (SELECT label AS parent_id, greatest(vec_id % 7, 1) AS w, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+@query("""WITH o AS (SELECT *, CASE WHEN vec_id % 3 = 0 THEN 'Text, ' ELSE 'text ' END || (vec_id % 31) AS t FROM embeddings QUALIFY row_number() OVER (PARTITION BY label, vec_id % 31 ORDER BY vec_id) = 1),
+p AS (SELECT label AS parent_id, greatest(vec_id % 7, 1) AS w, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM o),
 m AS (SELECT parent_id, dim, sum(w * x::DOUBLE) / sum(w) AS m FROM p GROUP BY 1, 2)
 SELECT parent_id, dim, round(m / sqrt(sum(m * m) OVER (PARTITION BY parent_id)), 6) AS value FROM m""")
 def parent_embeddings(spark, d):
-    return graph.weighted_mean(_t(spark, d, "embeddings").select(F.col("label").alias("parent_id"), F.col("embedding").alias("vector"), (F.col("vec_id") % 7).alias("weight")))
+    return graph.weighted_mean(_t(spark, d, "embeddings").select(F.col("label").alias("parent_id"), F.col("vec_id").alias("position"), F.concat(F.when(F.col("vec_id") % 3 == 0, "Text, ").otherwise("text "), F.col("vec_id") % 31).alias("text"), F.col("embedding").alias("vector"), (F.col("vec_id") % 7).alias("weight")))
 
 
 def _vectors(spark, d):
