@@ -172,10 +172,10 @@ def train(docs: DataFrame, *, per_label: int = 400, hidden: int = 8, window: int
 def identify(docs: DataFrame, net: Network, *, text_col: str = "text") -> DataFrame:
     """docs without the text, plus lang_pred and score (the label's mean probability).
 
-    Null text, text without a letter, and a network without labels: `und` with score 0. Extra columns pass through.
+    Null text, text without a letter, and a network without labels: `und` with score 0. Extra columns pass through, but those named lang_pred or score are replaced, and __text is reserved.
     """
     letters = F.coalesce(F.rlike(F.col(text_col), F.lit(r"\p{L}")), F.lit(False))
-    carried = docs.select(*[c for c in docs.columns if c != text_col], F.when(letters, F.col(text_col)).alias("__text"))
+    carried = docs.select(*[c for c in docs.columns if c not in (text_col, "lang_pred", "score")], F.when(letters, F.col(text_col)).alias("__text"))
     sent = docs.sparkSession.sparkContext.broadcast(net)  # some thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

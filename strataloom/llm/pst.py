@@ -217,9 +217,10 @@ def fit(docs: DataFrame, *, depth: int | None = 3, least: int = 2, gain: float =
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int = 500) -> DataFrame:
     """docs without the text, plus n_tokens, n_known, train_tokens (long), base_score and score (log10 probabilities of the text).
 
-    Null text is as empty text: its end alone. Without training texts every token is unknown. Extra columns pass through, but names that begin with two underscores are reserved.
+    Null text is as empty text: its end alone. Without training texts every token is unknown. Extra columns pass through, but those with the names of results are replaced, and names that begin with two underscores are reserved.
     """
-    carried = docs.select(*[c for c in docs.columns if c != text_col], F.col(text_col).alias("__text"))
+    results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    carried = docs.select(*[c for c in docs.columns if c not in (text_col, *results)], F.col(text_col).alias("__text"))
     sent = docs.sparkSession.sparkContext.broadcast((model.longest, model.head, model.within))
     new = "n_tokens long, __known long, __base double, __score double, __keys array<long>"
 
