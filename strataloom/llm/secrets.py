@@ -14,6 +14,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 try:  # the parser's name since Python 3.11
     from re import _constants as _c
     from re import _parser as _p
@@ -112,10 +114,6 @@ def _size(factors: list[set[frozenset[str]]]) -> int:
     return n
 
 
-def java(pattern: str) -> str:
-    return pattern
-
-
 def _key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
 
@@ -126,7 +124,7 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: str
     terms = sorted(set().union(*(q for _, _, q in queries)))
     low = F.lower("__text")
     posted = F.array_compact(F.array(*(F.when(F.contains(F.col("__low"), F.lit(t)), F.lit(i)) for i, t in enumerate(terms))))
-    # Only terms of some rule's query are posted: the index is restricted to the query vocabulary.
+    # Only terms of some rule's query are posted: the index is restricted to the query vocabulary. One search a term took half the time of one expression for all terms.
     postings = _key(docs, id_col, text_col).select("__id", low.alias("__low")).select("__id", F.explode(posted).alias("__term"))
     spark = docs.sparkSession
     parts = spark.createDataFrame([(terms.index(t), r, k, len(q)) for r, k, q in queries for t in sorted(q)], "__term int, __rule int, __part int, __need int")
@@ -161,9 +159,10 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, id_col: st
 
     Null text is as empty text. Rows that repeat an id, or have none, share candidates (a superset) and are verified one by one.
     Extra columns pass through; names that begin with two underscores are reserved.
+    Candidates are written first: while their table is below spark.sql.autoBroadcastJoinThreshold they are sent to where texts are read, beyond that texts are shuffled to them.
     """
     indexed = {r for r, rule in enumerate(rules) if trigram_query(rule.pattern)}
-    found = candidates(docs, rules, id_col=id_col, text_col=text_col)
+    found = materialize(candidates(docs, rules, id_col=id_col, text_col=text_col), "candidates")
     joined = docs.join(found, docs[id_col].eqNullSafe(found["__id"]), "left").withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
     empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,part:int>>")
     each = []
