@@ -131,3 +131,32 @@ def date_span(start: Column, end: Column) -> Column:
     a, b = read(start), read(end)
     bad = (given(start) & a.isNull()) | (given(end) & b.isNull()) | F.coalesce(a > b, F.lit(False))
     return F.struct(a.alias("start"), b.alias("end"), (~bad).alias("valid"))
+
+
+#: What errors say when an answer was too long. Fixed values.
+OUTPUT_LIMITS = ("length limit was reached", "could not parse response content", "maximum context length", "maximum output tokens", "max output tokens", "response was truncated", "finish_reason:length")
+
+
+def over_limit(message: Column) -> Column:
+    """Whether an error's message tells of an output that was too long."""
+    return reduce(lambda a, b: a | b, (F.contains(F.lower(F.coalesce(message, F.lit(""))), F.lit(m)) for m in OUTPUT_LIMITS))
+
+
+def file_stem(text: Column) -> Column:
+    """A file name's stem of ASCII letters, digits, dots, hyphens and single underscores; 'record' if nothing is left."""
+    one = F.regexp_replace(F.regexp_replace(F.btrim(F.coalesce(text, F.lit(""))), "[^A-Za-z0-9._-]+", "_"), "_+", "_")
+    s = F.regexp_replace(one, r"^[._]+|[._]+$", "")
+    return F.when(s == "", "record").otherwise(s)
+
+
+def staged_name(path: Column) -> Column:
+    """Name of a text file for a relative path: its letters and digits in lower case, and ten digits of its SHA-1."""
+    s = F.lower(F.regexp_replace(F.regexp_replace(path, "[^A-Za-z0-9]+", "_"), "^_+|_+$", ""))
+    return F.concat(F.when(s == "", "source").otherwise(s), F.lit("__"), F.substring(F.sha1(path), 1, 10), F.lit(".txt"))
+
+
+def last_segment(url: Column) -> Column:
+    """Last part of a URL's path; without one, the host's first label."""
+    rest = F.regexp_replace(F.regexp_replace(url, "^[A-Za-z][A-Za-z0-9+.-]*://", ""), "[?#].*$", "")
+    host, path = F.regexp_extract(rest, "^([^/]*)", 1), F.regexp_replace(F.regexp_replace(rest, "^[^/]*", ""), "^/+|/+$", "")
+    return F.when(path == "", F.substring_index(host, ".", 1)).otherwise(F.substring_index(path, "/", -1))

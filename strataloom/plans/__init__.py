@@ -1,3 +1,3 @@
 """Queries by name: registry has them all once this package is imported."""
 
-from . import consolidation, ledger, more, registry, revisions, search  # noqa: F401
+from . import consolidation, ingestions, ledger, more, registry, revisions, search  # noqa: F401
