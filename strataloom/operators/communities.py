@@ -64,3 +64,37 @@ def hierarchy_faults(members: DataFrame, nodes: DataFrame) -> DataFrame:
     below = members.where("level > 0").select("level", "parent").distinct()
     lost = below.join(above, ["level", "parent"], "left_anti").select(F.lit("no parent").alias("fault"), F.col("parent").alias("subject"))
     return twice.unionByName(bare).unionByName(lost)
+
+
+def report_evidence(members: DataFrame, mentions: DataFrame, relations: DataFrame) -> DataFrame:
+    """level, label, parent_id: what a community's report may cite, the parents that mention a member (mentions: node, parent_id) and those of relations within it (relations: source, target, parent_id)."""
+    of = members.select("level", "label", "node")
+    named = of.join(mentions, "node").select("level", "label", "parent_id")
+    a, b = of.withColumnRenamed("node", "source"), of.withColumnRenamed("node", "target")
+    inside = relations.select("source", "target", "parent_id").distinct().join(a, "source").join(b, ["level", "label", "target"]).select("level", "label", "parent_id")
+    return named.unionByName(inside).distinct()
+
+
+def ungrounded(findings: DataFrame, evidence: DataFrame) -> DataFrame:
+    """finding_id of findings (finding_id, level, label, sources) that cite nothing, or something that is no evidence of their community."""
+    cited = findings.select("finding_id", "level", "label", F.explode("sources").alias("parent_id"))
+    wrong = cited.join(evidence, ["level", "label", "parent_id"], "left_anti").select("finding_id")
+    return wrong.unionByName(findings.where(F.coalesce(F.size("sources"), F.lit(0)) <= 0).select("finding_id")).distinct()
+
+
+def reports(members: DataFrame, evidence: DataFrame, reporter: Callable[[DataFrame], DataFrame], save: Save) -> DataFrame:
+    """Reports of all communities, the deepest level first, so that a report sees the findings of those below it.
+
+    reporter gets level, label, parent, n (members), evidence (sorted parent ids) and below (findings of the communities within, by label), and gives level, label, summary and findings (array of texts).
+    """
+    depth = members.agg(F.max("level")).first()[0]  # a handful
+    groups = members.groupBy("level", "label", "parent").agg(F.count("*").alias("n")).join(evidence.groupBy("level", "label").agg(F.sort_array(F.collect_set("parent_id")).alias("evidence")), ["level", "label"], "left")
+    out = below = None
+    for level in range(depth if depth is not None else -1, -1, -1):
+        now = groups.where(F.col("level") == level)
+        now = now.join(below, "label", "left") if below is not None else now.withColumn("below", F.lit(None).cast("array<string>"))
+        made = save(reporter(now).select("level", "label", "summary", "findings"), "reports")
+        parent = groups.where(F.col("level") == level).select("label", "parent")
+        below = made.join(parent, "label").groupBy("parent").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("label", "findings"))), lambda x: x["findings"])).alias("below")).withColumnRenamed("parent", "label")
+        out = made if out is None else out.unionByName(made)
+    return out if out is not None else members.sparkSession.createDataFrame([], "level int, label string, summary string, findings array<string>")
