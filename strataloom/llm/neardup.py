@@ -21,6 +21,7 @@ from .common import arrow_rows, materialize, space_words
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
+TEXT_ROWS = 500  # texts that are sent to Python, and worked on, at a time
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the finalizer of splitmix64)."""
@@ -97,8 +98,8 @@ class Sketch:
 def _signatures(docs: DataFrame, sketch: Sketch, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, 2000):
-                batch = whole.slice(i, 2000)
+            for i in range(0, whole.num_rows, TEXT_ROWS):
+                batch = whole.slice(i, TEXT_ROWS)
                 sets = [shingles(t, width) for t in batch.column("text").to_pylist()]
                 has = [k for k, s in enumerate(sets) if len(s)]
                 registers = sketch.registers([sets[k] for k in has])
@@ -151,8 +152,8 @@ def _sets(ids: DataFrame, docs: DataFrame, width: int, most_bits: int = 1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, 2000):
-                batch = whole.slice(i, 2000)
+            for i in range(0, whole.num_rows, TEXT_ROWS):
+                batch = whole.slice(i, TEXT_ROWS)
                 bucket, at = batch.column("bucket").to_numpy(), batch.column("at").to_numpy()
                 place = bucket * 4096 + (at >> 3)
                 inside = (sent.value[place] >> (at & 7).astype(np.uint8)) & 1 == 1
@@ -161,7 +162,8 @@ def _sets(ids: DataFrame, docs: DataFrame, width: int, most_bits: int = 1 << 30)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
     found = docs.where("id IS NOT NULL").select("id", "text", F.bitmap_bucket_number(slot("id")).alias("bucket"), F.bitmap_bit_position(slot("id")).alias("at"))
-    return materialize(found.mapInArrow(run, "id long, set array<long>"), "sets", scan=True)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        return materialize(found.mapInArrow(run, "id long, set array<long>"), "sets", scan=True)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -286,7 +288,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, sketc
     """
     sketch = sketch or Sketch()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = materialize(_signatures(texts, sketch, width), "signatures", scan=True)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        sig = materialize(_signatures(texts, sketch, width), "signatures", scan=True)
     classes = materialize(sig.where("n > 0 AND id IS NOT NULL").groupBy("f1", "f2").agg(F.min("id").alias("id")), "classes")
     met = sig.select("id", "f1", "f2", "n", "keys").join(classes, ["f1", "f2", "id"], "left_semi").select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
     shared = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
