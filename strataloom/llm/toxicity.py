@@ -178,7 +178,7 @@ def toxicity(docs: DataFrame, model: Compressor, *, text_col: str = "text") -> D
     names = [c for c in docs.columns if c not in ("score", "predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, 500) for whole in batches for i in range(0, whole.num_rows, 500)):
             scores = [sent.value.score(t) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=[*names, "score", "predicted"])
 
