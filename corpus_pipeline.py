@@ -47,8 +47,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; from the others, the words that benchmark windows cover are cut."""
-    found = decontam.with_decision(decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")))
-    return _documents(decontam.cut_spans(found.where("NOT contaminated")))
+    found = decontam.with_decision(decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), cut=True))
+    return _documents(found.where("NOT contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

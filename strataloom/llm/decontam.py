@@ -9,10 +9,12 @@ located by walking to sampled suffix positions. Query windows come in blocks of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,7 +170,7 @@ def search_shard(block: Block, texts: list[str | None]) -> list[tuple[int, np.nd
             edge = np.flatnonzero(np.diff(np.concatenate(([0], w != 0, [0])).astype(np.int8)))
             for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
                 if e - s >= block.shortest:
-                    ids += [w[s:e], [0]]
+                    ids += [w[s:e].copy(), [0]]  # a view would keep all words of the text
                     origin.append((at + s, e - s))
         at += len(words)
     found: list[tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -204,43 +206,52 @@ def search_shard(block: Block, texts: list[str | None]) -> list[tuple[int, np.nd
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> Iterator[list[Row]]:
-    """The benchmark's items in blocks of about max_bytes of text, told apart by a hash of the item."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, max_bytes: int) -> Iterator[tuple[bool, list[Row]]]:
+    """The benchmark's items in blocks of about max_bytes of text, told apart by a hash of the item; and whether a block is the last."""
     total = benchmark.agg(F.sum(F.octet_length(F.coalesce(F.col(text_col), F.lit("")))).alias("n")).first()["n"] or 0
     n = max(1, -(-2 * total // max_bytes)) if total > max_bytes else 1
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("item IS NOT NULL")
     for k in range(n):
-        yield items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()
+        yield k == n - 1, items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = 13, shard_words: int = 2_000_000, max_block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def _shards(texts: pa.Array, most_words: int) -> Iterator[tuple[int, int]]:
+    """Ranges of whole documents of about most_words words, guessed from their lengths."""
+    start, words = 0, 0
+    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        words += (n or 0) // 6
+        if words >= most_words or i == len(texts) - 1:
+            yield start, i + 1
+            start, words = i + 1, 0
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = 13, shard_words: int = 2_000_000, max_block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", cut: bool = False) -> DataFrame:
     """docs plus n_words (long), spans (merged word ranges [start, end) that windows cover) and items (array of item ids with an occurring window).
 
     Null or empty text has no words. Null benchmark text has no windows; a null item id is left out. An empty benchmark hits nothing.
     Repeated items and rows count as themselves. Extra columns pass through, but not ones named n_words, spans or items.
     A block takes 9 times its text in memory where words are of seven letters, some 26 times where they are of one.
+    cut: texts lose the words of their spans and what stands between them, in the same pass, so that a task has one Python process; n_words and spans are of the whole text.
     """
     spark = docs.sparkSession
     out = docs.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast(SPANS), "items": F.array().cast("array<string>")})
     schema = out.schema
-    for rows in _blocks(benchmark, item_col, item_text, max_block_bytes):
+    for last, rows in _blocks(benchmark, item_col, item_text, max_block_bytes):
         block = spark.sparkContext.broadcast(Block([(r["item"], r["text"]) for r in rows], width))  # at most about max_block_bytes of text
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block=block, cutting=cut and last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(text_col).to_pylist()
-                result, start, words = [], 0, 0
-                for i, t in enumerate(texts):  # shards of whole documents
-                    words += len(t or "") // 6
-                    if words >= shard_words or i == len(texts) - 1:
-                        result += search_shard(block.value, texts[start : i + 1])
-                        start, words = i + 1, 0
+                texts, result = batch.column(text_col), []
+                for start, stop in _shards(texts, shard_words):
+                    result += search_shard(block.value, texts.slice(start, stop - start).to_pylist())
                 old_spans, old_items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
                 columns = {
                     "n_words": [r[0] for r in result],
                     "spans": [merge(old, zip(r[1].tolist(), r[2].tolist(), strict=True)) for old, r in zip(old_spans, result, strict=True)],
                     "items": [sorted({*old, *r[3]}) for old, r in zip(old_items, result, strict=True)],
                 }
+                if cutting and any(columns["spans"]):
+                    columns[text_col] = [without(t.as_py(), s) if s else t.as_py() for t, s in zip(texts, columns["spans"], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else batch.column(f.name) for f in batch.schema], schema=batch.schema)
 
         out = out.mapInArrow(run, schema)
@@ -273,26 +284,11 @@ def with_decision(found: DataFrame, min_share: int = 20) -> DataFrame:
 _WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def cut_spans(found: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """The text of rows with spans, without those words and what stands between them; others keep theirs."""
-
-    @F.pandas_udf("string")
-    def cut(text, spans):
-        import re
-
-        word = re.compile(_WORDS)
-        out = []
-        for t, ss in zip(text, spans, strict=True):
-            if t is not None and len(ss):
-                at = [m.span() for m in word.finditer(t)]
-                keep, pos = [], 0
-                for s in ss:
-                    keep.append(t[pos : at[s["start"]][0]])
-                    pos = at[s["end"] - 1][1]
-                t = "".join([*keep, t[pos:]])
-            out.append(t)
-        import pandas as pd
-
-        return pd.Series(out, dtype=object)
-
-    return found.withColumn(text_col, cut(text_col, "spans"))
+def without(text: str, spans: list[dict]) -> str:
+    """text without the words of spans and what stands between them."""
+    at = [m.span() for m in re.finditer(_WORDS, text)]
+    keep, pos = [], 0
+    for s in spans:
+        keep.append(text[pos : at[s["start"]][0]])
+        pos = at[s["end"] - 1][1]
+    return "".join([*keep, text[pos:]])

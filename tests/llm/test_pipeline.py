@@ -58,3 +58,17 @@ def test_line_sql(spark):
         c = con.execute(sql)
         assert df.columns == [x[0] for x in c.description]
         assert sorted(map(tuple, df.collect())) == sorted(c.fetchall())
+
+
+def test_benchmark_is_cut_in_one_python_pass(spark, tmp_path):
+    item = " ".join(f"q{k}" for k in range(13))
+    long = " ".join(f"w{k}" for k in range(600))
+    texts = [f"{long}, ({item.upper()}) é {item}; end", f"{item}! {long}", f"{long} -- {item}", long, item, "", None]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan  # each further node is one more Python process a task
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert got == {0: f"{long}, () é ; end", 1: f"! {long}", 2: f"{long} -- ", 3: long, 5: "", 6: None}
+    assert {r["doc_id"]: r["n_chars"] for r in out.collect()} == {d: len(t or "") for d, t in got.items()}
