@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(scan: DataFrame) -> DataFrame:
+    """scan, a table as `table` reads it, with __row: a number for each row, made of its file's and its place there, which is the same each time that it is read, whatever the tasks."""
+    at = scan.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place"))
+    files = at.select("__file").distinct().orderBy("__file").collect()
+    known = scan.sparkSession.createDataFrame([(r["__file"], k) for k, r in enumerate(files)], "__file string, __number long")
+    return at.join(F.broadcast(known), "__file").withColumn("__row", F.shiftleft("__number", 40) + F.col("__place")).drop("__file", "__place", "__number")
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 of a text; null is empty, lone surrogates become '?'."""
     return (text or "").encode("utf-8", "replace")

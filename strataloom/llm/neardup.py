@@ -9,6 +9,7 @@ still in another component, so that large groups of copies cost in proportion to
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +31,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's runs of width words; of the whole sequence, if it has fewer; empty without words."""
-    words = space_words(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    h = np.fromiter((digest(w) for w in words), np.uint64, len(words))
-    n = min(width, len(words))
-    out = np.full(len(words) - n + 1, n, np.uint64)
+def _runs(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n of the hashed words h."""
+    out = np.full(len(h) - n + 1, n, np.uint64)
     for k in range(n):
-        out = mix(out * _M1 + h[k : len(words) - n + 1 + k])
-    return np.unique(out)
+        out = mix(out * _M1 + h[k : len(h) - n + 1 + k])
+    return out
+
+
+def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
+    """Of each text: sorted distinct 64-bit hashes of its runs of width words; of the whole sequence, if it has fewer; empty without words."""
+    words = [space_words(t) for t in texts]
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64).tolist()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, ends[-1] if ends else 0)
+    runs = _runs(h, width) if len(h) >= width else h[:0]  # of all texts end to end; those across texts are not taken
+    out, start = [], 0
+    for end in ends:
+        v = np.sort(runs[start : end - width + 1] if end - start >= width else _runs(h[start:end], end - start) if end > start else h[:0])
+        fresh = np.ones(len(v), bool)
+        np.not_equal(v[1:], v[:-1], out=fresh[1:])
+        out.append(v[fresh])
+        start = end
+    return out
+
+
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """shingle_sets of one text."""
+    return shingle_sets([text], width)[0]
 
 
 class Sketch:
@@ -100,7 +116,7 @@ def _signatures(docs: DataFrame, sketch: Sketch, width: int) -> DataFrame:
         for whole in batches:
             for i in range(0, whole.num_rows, TEXT_ROWS):
                 batch = whole.slice(i, TEXT_ROWS)
-                sets = [shingles(t, width) for t in batch.column("text").to_pylist()]
+                sets = shingle_sets(batch.column("text").to_pylist(), width)
                 has = [k for k, s in enumerate(sets) if len(s)]
                 registers = sketch.registers([sets[k] for k in has])
                 keys = sketch.keys(registers)
@@ -158,7 +174,7 @@ def _sets(ids: DataFrame, docs: DataFrame, width: int, most_bits: int = 1 << 30)
                 place = bucket * 4096 + (at >> 3)
                 inside = (sent.value[place] >> (at & 7).astype(np.uint8)) & 1 == 1
                 batch = batch.filter(pa.array(inside))
-                sets = [shingles(t, width).view(np.int64) for t in batch.column("text").to_pylist()]
+                sets = [x.view(np.int64) for x in shingle_sets(batch.column("text").to_pylist(), width)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
     found = docs.where("id IS NOT NULL").select("id", "text", F.bitmap_bucket_number(slot("id")).alias("bucket"), F.bitmap_bit_position(slot("id")).alias("at"))

@@ -69,13 +69,19 @@ def pack_shard(pdf: pd.DataFrame, capacity: int, max_per_source: int) -> pd.Data
     return pdf
 
 
+def squeezed(text: Column) -> Column:
+    """A text whose white space is single spaces between words; null is as empty. Only what is not a single space yet is replaced, as each replacement costs."""
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r" \s+|[\t\n\x0B\f\r]\s*", " "))
+
+
 def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t\n\u000B\f\r]+"), lambda w: w != ""))
+    one = squeezed(text)
+    return F.when(one == "", 0).otherwise(F.octet_length(one) - F.octet_length(F.replace(one, F.lit(" "), F.lit(""))) + 1)
 
 
 def folded(text: Column) -> Column:
     """Hash of a text without case and white space's kind and amount; null is as empty."""
-    return F.xxhash64(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))))
+    return F.xxhash64(F.lower(squeezed(text)))
 
 
 def facts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster: Column | None = None, tokens: Column | None = None) -> DataFrame:
@@ -91,8 +97,11 @@ def facts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def clustered_facts(docs: DataFrame, *, width: int = 5, text_col: str = "text", **options) -> DataFrame:
-    """facts whose cluster is that of rows linked, directly or not, as near-duplicates (shingles of width words, similarity of 0.8) or as texts equal but for case and white space."""
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", scan=True)
+    """facts whose cluster is that of rows linked, directly or not, as near-duplicates (shingles of width words, similarity of 0.8) or as texts equal but for case and white space.
+
+    docs is read several times. If it has __row, as from numbered, that is the rows' number; else the rows are written first, with one.
+    """
+    rows = docs if "__row" in docs.columns else materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", scan=True)
     own = facts(rows, text_col=text_col, **options)
     near = neardup.near_duplicates(rows, width=width, id_col="__row", text_col=text_col).select(F.col("doc_id").alias("row"), F.col("component_id").alias("b"))
     placed = materialize(own.join(near, "row"), "placed")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontam, langid, line_dedup, media, neardup, packing, pst, secrets, toxicity, warc
-from .common import bucket, shared_dir, table
+from .common import bucket, numbered, shared_dir, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_facts(packing.clustered_facts(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+    return packing.pack_facts(packing.clustered_facts(numbered(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
