@@ -20,13 +20,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import arrow_rows, materialize, release
 from .tokens import END, Lookup, mix, word_hashes
 
 DISCOUNT = 0.75
+TEXT_ROWS = 2000  # texts that are sent to Python at a time
+PIECE = 1_000_000  # tokens that are worked on at a time
 
 
 def _uniques(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +54,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterat
         yield np.concatenate(held)
 
 
-def _words(docs: DataFrame, most: int = 2_000_000) -> DataFrame:
+def _words(docs: DataFrame, most: int = PIECE) -> DataFrame:
     """key and c: how often each word hash occurs; summed per task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,10 +100,34 @@ class Bitmap:
         return out
 
 
-def _entries(docs: DataFrame, level: int, least: int, frequent: Bitmap | None, opened: Bitmap | None, most: int = 2_000_000) -> DataFrame:
+def _sums(key: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key stands first in some order, and the sum of its c."""
+    order = np.argsort(key)
+    ranked = key[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return order[first], np.add.reduceat(c[order], first) if len(first) else c[:0]
+
+
+def _dealt(ctx: np.ndarray, low: np.ndarray | None, c: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Runs as one row a bucket, whose columns are the bytes of arrays; a run's bucket is told by its key. Within a bucket equal contexts stand together, which compresses."""
+    key = ctx if low is None else joined(ctx, low)
+    bucket = ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort((bucket << np.uint64(44)) | (ctx.view(np.uint64) >> np.uint64(20)))
+    bucket = bucket[order]
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
+
+    def cut(x: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x[order]))])
+
+    lows = pa.nulls(len(edges) - 1, pa.binary()) if low is None else cut(low)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]].astype(np.int32)), cut(ctx), lows, cut(c.astype(np.int32))], names=["bucket", "ctx", "low", "c"])
+
+
+def _entries(docs: DataFrame, level: int, least: int, frequent: Bitmap | None, opened: Bitmap | None, buckets: int, most: int = PIECE) -> DataFrame:
     """ctx, low and c of the runs of level + 1 words that occur `least` times; with opened, also rows without low: the contexts tried and how often they occur.
 
-    frequent: which runs of one word less may be part of such a run; opened: which suffixes of contexts are open.
+    frequent: which runs of one word less may be part of such a run; opened: which suffixes of contexts are open. What pieces of the texts count is
+    summed by buckets (at most 2**20), whose rows are arrays: a run is no row of its own before all of its counts are together.
     """
     sent = docs.sparkSession.sparkContext.broadcast((frequent, opened))
 
@@ -109,24 +136,31 @@ def _entries(docs: DataFrame, level: int, least: int, frequent: Bitmap | None, o
         for h in _pieces(batches, "text", most):
             *shorter, (keys, inside) = runs(h, level)
             ok = inside[:-1] & inside[1:] & (h[:-1] != END)
-            parts = []
             if open_ is not None:
                 ok &= open_(shorter[-1][0][:-1])
                 ctx = keys[:-1][ok]
                 first, c = _uniques(ctx)
-                parts.append((pa.array(ctx[first]), pa.nulls(len(first), pa.int64()), c))
+                yield _dealt(ctx[first], None, c, buckets)
             if may is not None:
                 ok &= may(keys[1:])
                 if open_ is None:
                     ok &= may(keys[:-1])
             ctx, low = keys[:-1][ok], keys[1:][ok]
             first, c = _uniques(joined(ctx, low))
-            parts.append((pa.array(ctx[first]), pa.array(low[first]), c))
-            for ctx, low, c in parts:
-                yield pa.RecordBatch.from_arrays([ctx, low, pa.array(c.astype(np.int64))], names=["ctx", "low", "c"])
+            yield _dealt(ctx[first], low[first], c, buckets)
+
+    def summed(rows: pa.Table) -> pa.Table:
+        parts = []
+        for part, whole in ((rows.filter(pc.is_valid(rows["low"])), True), (rows.filter(pc.is_null(rows["low"])), False)):
+            ctx, low, c = (np.frombuffer(b"".join(x or b"" for x in part[n].to_pylist()), kind) for n, kind in (("ctx", np.int64), ("low", np.int64), ("c", np.int32)))
+            first, c = _sums(joined(ctx, low) if whole else ctx, c.astype(np.int64))
+            first, c = first[c >= least], c[c >= least]
+            parts.append(pa.table([pa.array(ctx[first]), pa.array(low[first]) if whole else pa.nulls(len(first), pa.int64()), pa.array(c)], names=["ctx", "low", "c"]))
+        return pa.concat_tables(parts)
 
-    counted = docs.mapInArrow(run, "ctx long, low long, c long").groupBy("ctx", "low").agg(F.sum("c").alias("c"))
-    return materialize(counted.where(F.col("c") >= least), "entries")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        dealt = docs.mapInArrow(run, "bucket int, ctx binary, low binary, c binary")
+        return materialize(dealt.groupBy("bucket").applyInArrow(summed, "ctx long, low long, c long"), "entries")
 
 
 def _named(entries: DataFrame) -> DataFrame:
@@ -153,18 +187,20 @@ class Model:
     within: Bitmap
 
 
-def fit(docs: DataFrame, *, depth: int | None = 3, least: int = 2, gain: float = 8.0, p_head: float = 2.5e-7) -> Model:
+def fit(docs: DataFrame, *, depth: int | None = 3, least: int = 2, gain: float = 8.0, p_head: float = 2.5e-7, bucket_tokens: int = 500_000) -> Model:
     """The model of texts (column text, null as empty), with contexts of up to depth words; None: until a level has no node.
 
     All entries that occur `least` times count, and all contexts whose divergence from the suffix above, times their count, is `gain` nats.
     A level is written once: its entries meet the words or pairs below them in two joins, and what is asked of a context's entries together is a window over
     the second join's partitions (a context has as many rows as words follow it, however often).
     """
-    counts = materialize(_words(docs), "words")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        counts = materialize(_words(docs), "words")
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size["n"] or 0), int(size["v"])
     smoothed = total + 0.5 * (distinct + 1)
     unseen = float(np.log10(0.5 / smoothed))
+    buckets = min(1 << 20, max(1, -(-total // bucket_tokens)))
     one, zero = (F.col("c") + 0.5) / smoothed, F.lit(0.0)
     gained = F.log10(one) - unseen
     parts = [counts.select("key", "c", gained.alias("base"), gained.alias("value"), F.lit(1).cast("long").alias("known"))]
@@ -173,7 +209,7 @@ def fit(docs: DataFrame, *, depth: int | None = 3, least: int = 2, gain: float =
     of = Window.partitionBy("ctx")
     p, spared = F.col("p"), lambda x: F.least(F.greatest(1 - x, F.lit(1e-12)), F.lit(1.0))  # what the entries leave to all other words
     for level in (itertools.count(1) if depth is None else range(1, depth + 1)) if total else ():
-        found = _entries(docs, level, least, frequent, opened)
+        found = _entries(docs, level, least, frequent, opened, buckets)
         if opened is not None:
             seen = found.where("low IS NULL").select("ctx", F.col("c").alias("seen"))
         met = found.where("low IS NOT NULL").join(above.select(F.col("key").alias("low"), F.col("p").alias("above")), "low").join(seen, "ctx")
@@ -251,7 +287,8 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], names=[*kept, *(x.split()[0] for x in new.split(", "))])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields if f.name != "__text"), new])
-    first = materialize(carried.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored", scan=True)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        first = materialize(carried.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "scored", scan=True)
     rest = first.select("__row", F.explode("__keys").alias("key"))
     sums = [F.sum(a).alias(b) for a, b in (("base", "__more"), ("value", "__longer"), ("known", "__also"))]
     summed = rest.join(model.rest, "key").groupBy("__row").agg(*sums)

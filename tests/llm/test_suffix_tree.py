@@ -116,3 +116,23 @@ def test_word_hashes_are_of_the_words(monkeypatch, piece):
             assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes[at : at + n - 1]))
             at += n
         assert at == len(hashes) and len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize(("buckets", "most"), [(1, 1 << 20), (7, 50), (1 << 20, 50)])
+def test_runs_are_summed_in_buckets(spark, monkeypatch, buckets, most):
+    plans = []
+    monkeypatch.setattr(pst, "materialize", lambda df, label, plain=pst.materialize, **k: (plans.append(df._jdf.queryExecution().toString()), plain(df, label, **k))[1])
+    texts = _texts()
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    opened = pst.Bitmap(docs.sparkSession.createDataFrame([(int(h),) for h in set(tokens.word_hashes(pa.array(texts))[0].tolist()) - {tokens.END}], "key long"))
+    for level, open_ in ((1, None), (2, opened)):
+        want, tried = Counter(), Counter()
+        for t in texts:
+            h = tokens.word_hashes(pa.array([t], pa.string()))[0]
+            keys = [k for k, _ in pst.runs(h, level)][-1]
+            for i in range(level, len(h)):
+                want[int(keys[i - 1]), int(keys[i])] += 1
+                tried[int(keys[i - 1]), None] += 1
+        got = {(r["ctx"], r["low"]): r["c"] for r in pst._entries(docs, level, 2, None, open_, buckets, most).collect()}
+        assert got == {k: c for k, c in (want + (tried if open_ else Counter())).items() if c >= 2}
+    assert not [p for p in plans if "Aggregate" in p]  # counts of single runs are not rows of a shuffle
