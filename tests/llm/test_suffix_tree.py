@@ -136,3 +136,22 @@ def test_runs_are_summed_in_buckets(spark, monkeypatch, buckets, most):
         got = {(r["ctx"], r["low"]): r["c"] for r in pst._entries(docs, level, 2, None, open_, buckets, most).collect()}
         assert got == {k: c for k, c in (want + (tried if open_ else Counter())).items() if c >= 2}
     assert not [p for p in plans if "Aggregate" in p]  # counts of single runs are not rows of a shuffle
+
+
+def test_texts_meet_the_model_in_buckets(spark, monkeypatch):
+    """However many buckets, the scores are the plain model's; runs of texts are written nowhere, and other columns pass."""
+    written = []
+    monkeypatch.setattr(pst, "materialize", lambda df, label, plain=pst.materialize, **k: (written.append((label, df.columns)), plain(df, label, **k))[1])
+    texts = [*_texts(), "x y z", "never seen", "a b zz c d"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    docs = docs.selectExpr("doc_id", "text", "array(doc_id, null) AS some", "timestamp_seconds(doc_id) AS at", "cast(null AS string) AS none")
+    plain = Plain(texts, 3, 0.5)
+    model = pst.fit(docs.select("text"), depth=3, gain=0.5, p_head=0.002, bucket_tokens=40)
+    for size in (30, 10**9):
+        got = pst.score(docs, model, most=7, bucket_tokens=size).selectExpr("*", "some = array(doc_id, null) AND size(some) = 2 AND at = timestamp_seconds(doc_id) AND none IS NULL AS same").collect()
+        assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
+        for r in got:
+            base, total, known = plain.score(texts[r["doc_id"]])
+            assert r["n_known"] == known and r["base_score"] == pytest.approx(base, abs=1e-7) and r["score"] == pytest.approx(total, abs=1e-7)
+            assert r["some"] == [r["doc_id"], None] and r["none"] is None and r["at"].timestamp() == r["doc_id"]
+    assert not [label for label, columns in written if "__keys" in columns]
