@@ -7,7 +7,7 @@ that always go on alike, as in copies, end by themselves. A text is scored by th
 the suffix above, and at the root by adding one half to every word's count. Words, nodes and entries are rows of written tables, which grow with the corpus.
 
 A token's score is that of the root, plus log(left) of each suffix that is a node, plus a correction where the token is an entry of that node.
-All of these belong to runs of words, so texts meet the model once, in buckets of runs: arrays of texts' runs beside the model's rows of the same bucket. Runs above p_head of all tokens are carried to where texts are
+All of these belong to runs of words, so texts meet the model once, in buckets of runs: packed arrays of texts' runs beside such arrays of the model. Runs above p_head of all tokens are carried to where texts are
 read, which spares the join; a bitmap of the others leaves out of the join what the model lacks.
 """
 
@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,34 @@ DISCOUNT = 0.75
 TEXT_ROWS = 2000  # texts that are sent to Python at a time
 _SPREAD = 0x9E3779B97F4A7C15
 PIECE = 1_000_000  # tokens that are worked on at a time
+REST_RUNS = 500_000  # runs of the model that are dealt at a time
+_PACK, _UNPACK = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
+
+def packed(x: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers of 64 bits without loss, byte by byte of them, each kind of byte compressed where that helps. Whole ones count from the least, rising ones from the one before."""
+    least = x.min() if len(x) and x.dtype.kind != "f" else x.dtype.type(0)
+    if x.dtype.kind != "f":
+        x = x - least
+    if rising:
+        x = np.diff(x, prepend=np.zeros(1, x.dtype))
+    planes = [p.tobytes() for p in np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T)]
+    planes = [min(p, _PACK(p), key=len) for p in planes]
+    return np.array([len(x), *map(len, planes)], np.int32).tobytes() + least.tobytes() + b"".join(planes)
+
+
+def unpacked(blob: bytes, kind: type, rising: bool = False) -> np.ndarray:
+    """The numbers that packed was given; a byte's part as long as there are numbers is not compressed."""
+    n, *lengths = np.frombuffer(blob, np.int32, 9).tolist()
+    out, at = np.empty((n, 8), np.uint8), 44
+    for k, size in enumerate(lengths):
+        part = blob[at : at + size]
+        out[:, k] = np.frombuffer(part if size == n else _UNPACK(part), np.uint8)
+        at += size
+    x = out.reshape(-1).view(kind)
+    if rising:
+        x = np.cumsum(x, dtype=kind)
+    return x if x.dtype.kind == "f" else x + np.frombuffer(blob, kind, 1, 36)
 
 
 def _uniques(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,6 +86,19 @@ def _pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterat
         yield np.concatenate(held)
 
 
+def _held(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Rows of batches together, about `most` at a time."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= most:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def _words(docs: DataFrame, most: int = PIECE) -> DataFrame:
     """key and c: how often each word hash occurs; summed per task first."""
 
@@ -85,10 +127,10 @@ def runs(hashes: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndar
 
 
 class Bitmap:
-    """Which keys may be in a set: two of 16 bits a key, at most most_bits (128 MB). Beyond that more of the other keys pass; joins leave those out."""
+    """Which keys may be in a set: two of 12 to 24 bits a key, at most most_bits (128 MB). Beyond that more of the other keys pass; joins leave those out."""
 
     def __init__(self, keys: DataFrame, most_bits: int = 1 << 30):
-        bits = min(most_bits, max(1 << 20, 1 << (16 * keys.count()).bit_length()))
+        bits = min(most_bits, max(1 << 20, 1 << (12 * keys.count()).bit_length()))
         both = F.array(F.col("key"), F.shiftrightunsigned("key", 31))
         slot = F.pmod("key", F.lit(bits))
         marked = keys.select(F.explode(both).alias("key")).select(F.shiftright(slot, 15).alias("k"), F.pmod(slot, F.lit(32768)).alias("at")).groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits"))
@@ -268,11 +310,11 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
     results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     spark = docs.sparkSession
     carried = docs.select(*[c for c in docs.columns if c not in (text_col, *results)], F.monotonically_increasing_id().alias("__row"), F.col(text_col).alias("__text"))
-    sent = spark.sparkContext.broadcast((model.longest, model.head, model.within))
+    sent = spark.sparkContext.broadcast((model.longest, [packed(x, rising=k == 0) for k, x in enumerate(model.head)], [x.dtype for x in model.head], model.within))
     buckets = min(1 << 20, max(1, -(-model.total // bucket_tokens)))
     sums = ("__known", "__base", "__score")
     own = [f for f in carried.schema.fields if f.name != "__text"]
-    blobs = ["__rows", "__keys", *(f"{x}s" for x in sums)]  # arrays: of a bucket's runs the texts and keys, then of its texts the sums
+    blobs = ["__rows", "__keys", *(f"{x}s" for x in sums)]  # packed: of a bucket's runs the texts and keys, then of its texts the sums
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own), "n_tokens long, __known long, __base double, __score double, __bucket int", *(f"{x} binary" for x in blobs)])
     schema = T._parse_datatype_string(kinds)
     arrow = to_arrow_schema(schema)
@@ -282,17 +324,22 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
         got = {k: pa.array(x) if isinstance(x, np.ndarray) else x for k, x in columns.items()}
         return pa.table([(got[f.name] if got[f.name].type == f.type else got[f.name].cast(f.type)) if f.name in got else pa.nulls(n, f.type) for f in arrow], schema=arrow)
 
-    def cut(x: np.ndarray, edges: np.ndarray) -> pa.Array:
-        return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+    def cut(x: np.ndarray, edges: np.ndarray, rising: bool = False) -> pa.Array:
+        return pa.array([packed(x[a:b], rising) for a, b in itertools.pairwise(edges.tolist())], pa.binary())
+
+    def array(column: pa.ChunkedArray, kind: type, rising: bool = False) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind), *(unpacked(x.as_py(), kind, rising) for x in column if x.is_valid)])
 
-    def array(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), kind)
+    def bucket_of(key: np.ndarray) -> np.ndarray:
+        """Rises with the key, as a number without sign."""
+        return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
     def edges_of(ranked: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])) if len(ranked) else np.zeros(1, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        longest, (keys, *values), within = sent.value
+        longest, head, kinds_, within = sent.value
+        keys, *values = (unpacked(x, kind, rising=k == 0) for k, (x, kind) in enumerate(zip(head, kinds_, strict=True)))
         find = Lookup(keys)
         for whole in batches:
             rows, rest, ids = [], [], whole.column("__row").to_numpy()
@@ -315,29 +362,40 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
                     __bucket=((ids[start : start + n].view(np.uint64) * np.uint64(_SPREAD)) >> np.uint64(32)).astype(np.int64) % buckets, **{f.name: batch.column(f.name) for f in own},
                 ).to_batches()
             row, key = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, rest))
-            bucket = ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            by = np.lexsort((row, bucket))
-            edges = edges_of(bucket[by])
-            yield from made(len(edges) - 1, __bucket=bucket[by][edges[:-1]].astype(np.int64), __rows=cut(ids[row[by]], edges), __keys=cut(key[by], edges)).to_batches()
+            by = np.argsort(key.view(np.uint64))
+            row, key = ids[row[by]], key[by].view(np.uint64)
+            bucket = bucket_of(key)
+            edges = edges_of(bucket)
+            yield from made(len(edges) - 1, __bucket=bucket[edges[:-1]], __rows=cut(row, edges), __keys=cut(key, edges, rising=True)).to_batches()
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of the model as one row a bucket for each REST_RUNS of them."""
+        for group in _held(batches, REST_RUNS):
+            key = group["key"].to_numpy().view(np.uint64)
+            by = np.argsort(key)
+            bucket = bucket_of(key[by])
+            edges = edges_of(bucket)
+            columns = [cut(group[n].to_numpy()[by], edges) for n in ("base", "value", "known")]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]].astype(np.int32)), cut(key[by], edges, rising=True), *columns], names=["__bucket", "keys", "bases", "values", "knowns"])
 
     def met(asked: pa.Table, known: pa.Table) -> pa.Table:
         """The sums that a bucket of the model gives its runs' texts, dealt by text; rows of texts pass as they are."""
         whole = pc.is_valid(asked["n_tokens"])
         runs_ = asked.filter(pc.invert(whole))
-        row, key = array(runs_["__rows"], np.int64), array(runs_["__keys"], np.int64)
-        have, at = np.unique(known["key"].to_numpy(), return_inverse=True)
-        value = [np.bincount(at, known[n].to_numpy(), len(have)) for n in ("base", "value")]
+        row, key = array(runs_["__rows"], np.int64), array(runs_["__keys"], np.uint64, rising=True).view(np.int64)
+        have, at = np.unique(array(known["keys"], np.uint64, rising=True).view(np.int64), return_inverse=True)
+        value = [np.bincount(at, array(known[n], np.float64), len(have)) for n in ("bases", "values")]
         is_known = np.zeros(len(have), bool)
-        is_known[at[known["known"].to_numpy() > 0]] = True
+        is_known[at[array(known["knowns"], np.int64) > 0]] = True
         find = Lookup(have)(key)
         hit = find >= 0
         ids, of = np.unique(row[hit], return_inverse=True)
         three = [np.bincount(of, v[find[hit]], len(ids)) for v in (is_known.astype(float), *value)]
         bucket = ((ids.view(np.uint64) * np.uint64(_SPREAD)) >> np.uint64(32)).astype(np.int64) % buckets
-        by = np.argsort(bucket)
+        by = np.argsort(bucket, kind="stable")
         edges = edges_of(bucket[by])
         sent_on = {f"{n}s": cut(v[by], edges) for n, v in zip(sums, three, strict=True)}
-        return pa.concat_tables([asked.filter(whole).cast(arrow), made(len(edges) - 1, __bucket=bucket[by][edges[:-1]], __rows=cut(ids[by], edges), **sent_on)])
+        return pa.concat_tables([asked.filter(whole).cast(arrow), made(len(edges) - 1, __bucket=bucket[by][edges[:-1]], __rows=cut(ids[by], edges, rising=True), **sent_on)])
 
     def added(parts: pa.Table) -> pa.Table:
         """The texts of a bucket with what buckets of the model have for them."""
@@ -345,12 +403,11 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", most: int =
         texts, more = parts.filter(whole), parts.filter(pc.invert(whole))
         ids = texts["__row"].to_numpy()
         by = np.argsort(ids)
-        at = by[np.searchsorted(ids[by], array(more["__rows"], np.int64))] if len(ids) else np.zeros(0, np.int64)
+        at = by[np.searchsorted(ids[by], array(more["__rows"], np.int64, rising=True))] if len(ids) else np.zeros(0, np.int64)
         full = {n: texts[n].to_numpy() + np.bincount(at, array(more[f"{n}s"], np.float64), len(ids)) for n in sums}
         return made(len(ids), n_tokens=texts["n_tokens"].to_numpy(), __known=full["__known"].astype(np.int64), __base=full["__base"], __score=full["__score"], **{f.name: texts[f.name] for f in own})
 
-    place = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(buckets), 32).cast("int")
-    known = model.rest.select(place.alias("__bucket"), "key", "base", "value", "known")
+    known = model.rest.select("key", "base", "value", "known").mapInArrow(told, "__bucket int, keys binary, bases binary, values binary, knowns binary")
     asked = carried.mapInArrow(run, schema).groupBy("__bucket").cogroup(known.groupBy("__bucket")).applyInArrow(met, schema)
     with arrow_rows(spark, TEXT_ROWS):
         out = materialize(asked.groupBy("__bucket").applyInArrow(added, schema).select(*[f"`{f.name}`" for f in own], "n_tokens", *sums), "scored")

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -155,3 +156,34 @@ def test_texts_meet_the_model_in_buckets(spark, monkeypatch):
             assert r["n_known"] == known and r["base_score"] == pytest.approx(base, abs=1e-7) and r["score"] == pytest.approx(total, abs=1e-7)
             assert r["some"] == [r["doc_id"], None] and r["none"] is None and r["at"].timestamp() == r["doc_id"]
     assert not [label for label, columns in written if "__keys" in columns]
+
+
+@pytest.mark.parametrize("rising", [False, True])
+def test_packed_numbers_come_back(rising):
+    rng = np.random.default_rng(1)
+    for kind in (np.int64, np.uint64, np.float64):
+        ends = np.array([0, -0.0, 0.1, -1e300, math.inf, 5e-324] if kind is np.float64 else [np.iinfo(kind).max, 0, 7, np.iinfo(kind).min, 7], kind)
+        some = rng.integers(np.iinfo(np.int64).min, np.iinfo(np.int64).max, 1000).view(kind)
+        for x in (ends, ends[:0], ends[:1], np.sort(some[~np.isnan(some)]), np.arange(5, 300).astype(kind), some[~np.isnan(some)]):
+            if not (rising and kind is np.float64):
+                got = pst.unpacked(pst.packed(x, rising), kind, rising)
+                assert got.dtype == x.dtype and got.tobytes() == x.tobytes()
+    keys = np.sort(rng.integers(0, 1 << 57, 10_000, np.uint64))
+    assert len(pst.packed(keys, True)) < 6 * len(keys) and len(pst.packed(np.zeros(10_000))) < 400
+
+
+def test_scoring_shuffles_little(spark):
+    """Runs of texts and of the model are sent packed: 23 bytes for each of the model here, where rows of the model beside plain arrays of the texts took 34."""
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(400)) for _ in range(250)] * 2
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    model = pst.fit(docs, depth=3, gain=0.5, p_head=1.0)
+    sc = spark.sparkContext._jsc.sc()
+
+    def sent():
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    before, rest = sent(), model.rest.count()
+    assert pst.score(docs, model).count() == len(texts) and rest > 300_000
+    assert 10 * rest < sent() - before < 28 * rest
