@@ -102,13 +102,15 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Lookup:
-    """Places of keys in an array of distinct ones; -1 for those that it lacks. Open addressing, all keys at a time."""
+    """Places of keys in an array of distinct ones; -1 for those that it lacks. Open addressing, all keys at a time; a small table of flags tells most that it lacks."""
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
         self.mask = (1 << max(4, (2 * len(keys)).bit_length())) - 1
-        self.slots = np.full(self.mask + 1, -1, np.int64)
-        at, open_ = self._home(keys), np.arange(len(keys))
+        self.slots = np.full(self.mask + 1, -1, np.int32)
+        self.flags = np.zeros(1 << max(4, (4 * len(keys)).bit_length()), bool)
+        self.flags[self._flag(keys)] = True
+        at, open_ = self._home(keys), np.arange(len(keys), dtype=np.int32)
         while len(open_):
             here = at[open_]
             free = self.slots[here] < 0
@@ -119,16 +121,28 @@ class Lookup:
     def _home(self, x: np.ndarray) -> np.ndarray:
         return ((x.view(np.uint64) >> np.uint64(17)).view(np.int64) ^ x) & self.mask
 
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(x), -1, np.int64)
+    def _flag(self, x: np.ndarray) -> np.ndarray:
+        return (x >> np.int64(20)) & (len(self.flags) - 1)
+
+    def hits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of x the array has, rising, and their places there."""
+        which = np.flatnonzero(self.flags[self._flag(x)])
         if not len(self.keys):
-            return out
-        at, open_ = self._home(x), np.arange(len(x))
+            return which, which
+        x = x[which]
+        out, at, open_ = np.full(len(x), -1, np.int32), self._home(x), np.arange(len(x))
         while len(open_):
             slot = self.slots[at]
             full = slot >= 0
-            hit = full & (self.keys[slot] == x[open_])
+            hit = full & (self.keys[slot] == (x if len(open_) == len(x) else x[open_]))
             out[open_[hit]] = slot[hit]
-            more = full & ~hit
+            more = np.flatnonzero(full & ~hit)
             open_, at = open_[more], (at[more] + 1) & self.mask
+        ok = out >= 0
+        return which[ok], out[ok]
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), -1, np.int64)
+        which, at = self.hits(x)
+        out[which] = at
         return out

@@ -187,3 +187,18 @@ def test_scoring_shuffles_little(spark):
     before, rest = sent(), model.rest.count()
     assert pst.score(docs, model).count() == len(texts) and rest > 300_000
     assert 10 * rest < sent() - before < 28 * rest
+
+
+def test_orders_and_places():
+    """Orders by sorts that carry places are exact where asked, also where numbers differ in their lowest bits alone; look-ups find what is there and nothing else."""
+    rng = np.random.default_rng(3)
+    for x in (rng.integers(-(2**63), 2**63 - 1, 5000), rng.integers(0, 9, 5000), np.arange(5000)[::-1].copy(), np.zeros(0, np.int64), np.array([-1])):
+        ranked = x[pst._order(x)].view(np.uint64)
+        assert (ranked[1:] >= ranked[:-1]).all() and sorted(pst._order(x, near=True).tolist()) == list(range(len(x)))
+        keys = np.unique(x)
+        for have in (keys, keys[::3], keys[:0]):
+            places = {k: i for i, k in enumerate(have.tolist())}
+            asked = np.concatenate([x, x + 1])
+            which, at = tokens.Lookup(have).hits(asked)
+            assert (np.diff(which) > 0).all() and tokens.Lookup(have)(asked).tolist() == [places.get(k, -1) for k in asked.tolist()]
+            assert (have[at] == asked[which]).all() and len(which) == sum(k in places for k in asked.tolist())
