@@ -140,18 +140,36 @@ def runs(hashes: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndar
 class Bitmap:
     """Which keys may be in a set: two of 12 to 24 bits a key, at most most_bits (128 MB). Beyond that more of the other keys pass; joins leave those out."""
 
+    BLOCK = 1 << 20  # bits that are marked together
+
     def __init__(self, keys: DataFrame, most_bits: int = 1 << 30):
         bits = min(most_bits, max(1 << 20, 1 << (12 * keys.count()).bit_length()))
-        both = F.array(F.col("key"), F.shiftrightunsigned("key", 31))
-        slot = F.pmod("key", F.lit(bits))
-        marked = keys.select(F.explode(both).alias("key")).select(F.shiftright(slot, 15).alias("k"), F.pmod(slot, F.lit(32768)).alias("at")).groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits"))
+        slots, block = functools.partial(self._slots, last=bits - 1), self.BLOCK
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group in _held(batches, REST_RUNS):
+                at = np.sort(np.concatenate(slots(group["key"].to_numpy())))
+                k = at // block
+                edges = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
+                yield pa.RecordBatch.from_arrays([pa.array(k[edges[:-1]]), pa.array([packed(at[a:b] % block, True) for a, b in itertools.pairwise(edges.tolist())], pa.binary())], names=["k", "at"])
+
+        def marked(rows: pa.Table) -> pa.Table:
+            out = np.zeros(block, bool)
+            for x in rows["at"]:
+                out[unpacked(x.as_py(), np.int64, True)] = True
+            return pa.table([rows["k"][:1], pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())], names=["k", "bits"])
+
         self.last, self.bits = bits - 1, np.zeros(bits // 8, np.uint8)
-        for r in marked.toLocalIterator():
-            self.bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+        for r in keys.select("key").mapInArrow(run, "k long, at binary").groupBy("k").applyInArrow(marked, "k long, bits binary").toLocalIterator():
+            self.bits[r["k"] * block // 8 : (r["k"] + 1) * block // 8] = np.frombuffer(r["bits"], np.uint8)
+
+    @staticmethod
+    def _slots(keys: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+        return keys & last, (keys.view(np.uint64) >> np.uint64(31)).view(np.int64) & last
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
-        for at in (keys & self.last, (keys.view(np.uint64) >> np.uint64(31)).view(np.int64) & self.last):
+        for at in self._slots(keys, self.last):
             out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return out
 

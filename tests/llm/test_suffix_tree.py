@@ -202,3 +202,13 @@ def test_orders_and_places():
             which, at = tokens.Lookup(have).hits(asked)
             assert (np.diff(which) > 0).all() and tokens.Lookup(have)(asked).tolist() == [places.get(k, -1) for k in asked.tolist()]
             assert (have[at] == asked[which]).all() and len(which) == sum(k in places for k in asked.tolist())
+
+
+@pytest.mark.parametrize("n", [0, 5, 300_000])
+def test_bitmaps_have_their_keys(spark, n):
+    """All keys pass and few others do, with one block and with several; keys are not sorted as rows to be marked."""
+    rng = np.random.default_rng(n)
+    keys, others = (rng.integers(-(2**63), 2**63 - 1, k) for k in (n, 50_000))
+    found = pst.Bitmap(spark.createDataFrame(pa.table({"key": pa.array(keys, pa.int64())})).repartition(3))
+    assert found(keys).all() and found(others).mean() < 0.03
+    assert 8 * len(found.bits) == found.last + 1 == max(1 << 20, 1 << (12 * n).bit_length())
