@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from . import nearest as exact
 from . import retrieval
 
 MODES = ("vector", "lexical", "hybrid", "graph_hybrid")
@@ -60,10 +61,8 @@ def same_fingerprint(units: DataFrame, wanted: str) -> DataFrame:
 
 
 def nearest(queries: DataFrame, records: DataFrame, k: int) -> DataFrame:
-    """query_id, id, distance, score, rank: the k records of least squared distance per query; score 1 / (1 + distance). Queries are a stated set, sent to where records are."""
-    gap = F.aggregate(F.zip_with("__q", "__r", lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    q = queries.select("query_id", F.col("vector").alias("__q"))
-    met = records.select("id", F.col("vector").alias("__r")).join(F.broadcast(q), F.col("id") != F.col("query_id")).select("query_id", "id", F.round(gap, 6).alias("distance"))
+    """query_id, id, distance, score, rank: the k records of least squared distance per query; score 1 / (1 + distance). Every query is compared with every record, in pairs of blocks."""
+    met = exact.nearest(queries, records, k, "squared").withColumnRenamed("value", "distance")
     ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))).where(F.col("rank") <= k)
     return ranked.withColumn("score", F.round(1 / (1 + F.col("distance")), 6))
 
