@@ -20,15 +20,17 @@ def propagate(nodes: DataFrame, edges: DataFrame, rounds: int = 3, save: Save =
     """node, label. Each round a node takes the label of most weight among its neighbours and itself, the smallest of equals; its own label counts
     as much as its heaviest edge, so that two nodes don't swap labels for ever. A node of no edges keeps its own.
 
-    nodes: node (distinct); edges: source, target, weight, in either direction. A round is one join and two grouped aggregates over the edges; no
-    neighbourhood is collected. save(df, label) may write and reread the labels of a round.
+    nodes: node (distinct); edges: source, target, weight, in either direction. A round is one join and two grouped aggregates over the edges, the first one
+    a single aggregate, as every node is still its own label; no neighbourhood is collected. save(df, label) may write and reread the labels of a round.
     """
     between = _both(edges)
     own = between.groupBy("source").agg(F.max("weight").alias("weight")).select("source", F.col("source").alias("target"), "weight")
     both = save(between.unionByName(own), "edges")
-    at = own.select(F.col("source").alias("node"), F.col("source").alias("label"))
-    for _ in range(rounds):
-        votes = both.join(at.withColumnRenamed("node", "target"), "target").groupBy("source", "label").agg(F.sum("weight").alias("w"))
+    votes = both.select("source", F.col("target").alias("label"), F.col("weight").alias("w"))  # at first every node is its own label, and both has a pair once
+    at = nodes.select("node", F.col("node").alias("label"))
+    for k in range(rounds):
+        if k:
+            votes = both.join(at.withColumnRenamed("node", "target"), "target").groupBy("source", "label").agg(F.sum("weight").alias("w"))
         best = votes.groupBy("source").agg(F.min(F.struct((-F.col("w")).alias("w"), "label"))["label"].alias("label"))
         at = save(best.select(F.col("source").alias("node"), "label"), "labels")
     return nodes.select("node").join(at, "node", "left").select("node", F.coalesce("label", "node").alias("label"))

@@ -58,6 +58,6 @@ SELECT node, label FROM a3""")
 def graph_communities(spark, d):
     """Parts and suppliers, joined by the lines that name both."""
     key = lambda c, k: F.concat(F.lit(c), F.col(k).cast("string"))
-    edges = _t(spark, d, "lineitem").groupBy(key("p", "l_partkey").alias("source"), key("s", "l_suppkey").alias("target")).agg(F.count("*").alias("weight"))
+    edges = _t(spark, d, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("weight")).select(key("p", "l_partkey").alias("source"), key("s", "l_suppkey").alias("target"), "weight")
     nodes = _t(spark, d, "part").select(key("p", "p_partkey").alias("node")).unionByName(_t(spark, d, "supplier").select(key("s", "s_suppkey").alias("node")))
     return communities.propagate(nodes, edges, 3, materialize)
